@@ -51,11 +51,12 @@ FROM orders JOIN (
 
 # One row per company and shifted year: the figures that statements print.
 YEAR_FIGURES = """
-SELECT o_custkey AS cik, year(o_orderdate) + 15 AS yr,
-  CAST(floor(sum(CAST(o_totalprice AS DECIMAL(18, 2)))) AS BIGINT) AS revenue,
-  CAST(floor(sum(CAST(o_totalprice AS DECIMAL(18, 2)))) AS BIGINT) % 10007 - 5000 AS net,
-  count(*) * 1000 + o_custkey % 97 AS rnd
-FROM orders GROUP BY o_custkey, year(o_orderdate)
+SELECT cik, yr, revenue, rnd, CASE WHEN cik % 23 = 0 THEN 0 WHEN net BETWEEN -9 AND -1 THEN net - 10 ELSE net END AS net
+FROM (SELECT o_custkey AS cik, year(o_orderdate) + 15 AS yr,
+    CAST(floor(sum(CAST(o_totalprice AS DECIMAL(18, 2)))) AS BIGINT) AS revenue,
+    CAST(floor(sum(CAST(o_totalprice AS DECIMAL(18, 2)))) AS BIGINT) % 10007 - 5000 AS net,
+    count(*) * 1000 + o_custkey % 97 AS rnd
+  FROM orders GROUP BY o_custkey, year(o_orderdate)) AS f
 """
 
 SQL_INPUTS = {

@@ -77,7 +77,9 @@ _ENTITY_OR_TEXT = r"&(?:#[xX][0-9a-fA-F]++;?|#[0-9]++;?|[A-Za-z][A-Za-z0-9]*+;?)
 
 def decode_entities(c: Column) -> Column:
     """Decode named and numeric character references; unknown names stay."""
+    # Filings pad cells with this one; no other reference can end in its text.
+    spaced = F.replace(c, F.lit("&nbsp;"), F.lit("\u00a0"))
     decoded = F.array_join(
-        F.transform(F.regexp_extract_all(c, F.lit(_ENTITY_OR_TEXT), F.lit(0)), _one_entity), ""
+        F.transform(F.regexp_extract_all(spaced, F.lit(_ENTITY_OR_TEXT), F.lit(0)), _one_entity), ""
     )
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+    return F.when(~F.contains(c, F.lit("&")), c).when(~F.contains(spaced, F.lit("&")), spaced).otherwise(decoded)

@@ -2,16 +2,15 @@
 
 How a document becomes a relation
 ---------------------------------
-1. Next to the scan, each document is cut at its structural tags (``table``,
-   ``tr``, ``td``, ``th``, open or close) by one regular expression.  A segment
-   is one such tag and all that follows it up to the next.  The text of each
-   segment becomes a list of trimmed, entity-decoded pieces.
-2. One *event* row per segment (position, tag code, counts - all numbers)
-   goes through one exchange by document.  The pieces of the whole document
+1. Next to the scan, each document is cut into *parts* at its ``table`` and
+   ``tr`` tags, and each part into cells at its ``td`` and ``th`` tags.  The text
+   of a cell becomes a list of trimmed, entity-decoded pieces.
+2. One *event* row per part goes through one exchange by document: a tag code
+   and a few counts, a row or two per table row.  The pieces of the whole document
    travel once, on its first event, and the markup itself not at all.
 3. Running sums give each event its table depth.  Inside one depth level a
-   table, row or cell ends at the next event of its kind or above, which one
-   backward running window finds.  Nesting may be of any depth.
+   table, row or open cell ends at the next event of its kind or above, which
+   one backward running window finds.  Nesting may be of any depth.
 4. Because an element covers a contiguous stretch of the document, its rows,
    cells and text pieces are plain ranges ``[lo, hi)`` of the document's ordered
    lists.  Nested rows and cells fall inside the outer ranges by themselves,
@@ -19,7 +18,7 @@ How a document becomes a relation
 
 A window partition is one document, which is one string value to begin with,
 so no partition can outgrow a single input row.  Keys must be unique per
-document; ``sources.documents`` makes them so.
+document; ``sources.documents.one_per_url`` makes them so.
 
 An unclosed cell or row ends at the next one of the same table depth, and an
 unclosed table at the end of the document.
@@ -32,20 +31,42 @@ from pyspark.sql import functions as F
 
 from tiercast.functions.text import decode_entities, strip
 
-_REST = r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|["'])*+>"""
-_STRUCT = r"</?(?:table|tr|td|th)(?=[\s/>])"
-_SKIP = r"<!--.*?-->|<script(?=[\s/>]).*?(?:</script\s*+>|\z)|<style(?=[\s/>]).*?(?:</style\s*+>|\z)"
-_TAG = r"<[a-z/!?]" + _REST
-
-MARKUP_PATTERN = rf"(?is){_SKIP}|{_TAG}"
-TOKEN_PATTERN = rf"(?is){_SKIP}|{_TAG}|[^<]++|<"
-SEGMENT_PATTERN = rf"(?is)(?:{_STRUCT}{_REST})?+(?:(?!{_STRUCT})(?:{_SKIP}|{_TAG}|[^<]++|<))*+"
-_HEAD_PATTERN = r"(?i)^<(/?(?:table|tr|td|th))(?=[\s/>])"
+# Rest of a tag up to its end.  Quotes count only right after an equals sign, and
+# one that never closes does not swallow what follows.
+_ATTRS = r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|["'])*+>"""
+# Every alternative below starts with the same character, kept in front so that
+# matching fails at once on any other.
+_MARKUP = (
+    r"<(?:!--.*?-->"
+    r"|(?i:script)(?=[\s/>]).*?(?:</(?i:script)\s*+>|\z)"
+    r"|(?i:style)(?=[\s/>]).*?(?:</(?i:style)\s*+>|\z)"
+    rf"|[a-zA-Z/!?]{_ATTRS})"
+)
+# Group 1 is a run of text between markup; a bracket that opens no tag is text.
+TEXT_PATTERN = rf"(?s){_MARKUP}|((?:[^<]++|(?!{_MARKUP})<)++)"
+TOKEN_PATTERN = rf"(?s){_MARKUP}|[^<]++|<"
+
+_TABLE_OR_ROW = r"</?(?i:table|tr)(?=[\s/>])"
+_CELL = r"</?(?i:td|th)(?=[\s/>])"
+_INSIDE = rf"(?:[^<]++|{_MARKUP}|<)"
+# A part is a table or row tag and all that follows it up to the next.
+PART_PATTERN = rf"(?s)(?:{_TABLE_OR_ROW}{_ATTRS})?+(?:(?!{_TABLE_OR_ROW}){_INSIDE})*+"
+# A cell takes its own closing tag along when nothing follows that it would bound.
+CELL_PATTERN = (
+    rf"(?s)<(?i:td|th)(?=[\s/>]){_ATTRS}(?:(?!{_CELL}){_INSIDE})*+"
+    r"(?:</(?i:td|th)\s*+>\s*+(?=<(?i:td|th)[\s/>]|\z))?+"
+    rf"|(?:</(?i:td|th)(?=[\s/>]){_ATTRS})?+(?:(?!{_CELL}){_INSIDE})*+"
+)
+_PART_HEAD = r"^<(/?(?i:table|tr))(?=[\s/>])"
+_CELL_HEAD = r"^<(/?(?i:td|th))(?=[\s/>])"
 _EMPTY_ELEMENT = r"(?i)<(table|tr|td|th)((?:\s[^<>\"']*(?:\"[^\"<>]*\"|'[^'<>]*')?)*)\s*/>"
 _ANCHOR_PATTERN = r"""(?is)<a(?=[\s>])(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|["'])*+>"""
 _HREF = r"""(?is)\shref\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']*+))"""
 
-TABLE, TABLE_END, ROW, ROW_END, DATA, HEAD, CELL_END = 1, 2, 3, 4, 5, 6, 7
+# Part codes; REST is the text at the start and after a closed table.
+REST, TABLE, TABLE_END, ROW, ROW_END = 0, 1, 2, 3, 4
+# Cell codes; OUTSIDE is text of a part before its first cell.
+OUTSIDE, DATA, HEAD, CELL_END = 0, 1, 2, 3
 
 
 def tokens(c: Column) -> Column:
@@ -60,8 +81,9 @@ def token_tag(token: Column) -> Column:
 
 def pieces(c: Column) -> Column:
     """Trimmed, decoded, non-empty text pieces of a stretch of HTML."""
-    cut = F.split(c, MARKUP_PATTERN)
-    return F.filter(F.transform(cut, lambda t: strip(decode_entities(t))), lambda t: t != "")
+    # Not split(): it would compile its pattern again for every cell.
+    runs = F.filter(F.regexp_extract_all(c, F.lit(TEXT_PATTERN), F.lit(1)), lambda t: t != "")
+    return F.filter(F.transform(runs, lambda t: strip(decode_entities(t))), lambda t: t != "")
 
 
 def href(anchor: Column) -> Column:
@@ -76,20 +98,80 @@ def anchors(c: Column) -> Column:
     return F.transform(found, lambda a: F.struct(href(a).alias("href")))
 
 
-def _tag_code(segment: Column) -> Column:
-    head = F.lower(F.regexp_extract(segment, _HEAD_PATTERN, 1))
-    code = F.when(head == "table", TABLE).when(head == "/table", TABLE_END)
-    code = code.when(head == "tr", ROW).when(head == "/tr", ROW_END)
-    code = code.when(head == "td", DATA).when(head == "th", HEAD)
-    return code.when(head != "", CELL_END).otherwise(0)
+def _part_code(part: Column) -> Column:
+    head = F.lower(F.regexp_extract(part, _PART_HEAD, 1))
+    codes = {"": REST, "table": TABLE, "/table": TABLE_END, "tr": ROW, "/tr": ROW_END}
+    return F.array_position(F.array(*[F.lit(t) for t in codes]), head).cast("int") - 1
 
 
-def _segments(html: Column) -> Column:
-    closed = F.when(
-        F.contains(html, F.lit("/>")), F.regexp_replace(html, _EMPTY_ELEMENT, "<$1$2></$1>")
-    ).otherwise(html)
-    found = F.regexp_extract_all(closed, F.lit(SEGMENT_PATTERN), F.lit(0))
-    return F.filter(found, lambda s: s != "")
+def _cell_code(cell: Column) -> Column:
+    head = F.lower(F.regexp_extract(cell, _CELL_HEAD, 1))
+    return F.when(head == "", OUTSIDE).when(head == "td", DATA).when(head == "th", HEAD).otherwise(CELL_END)
+
+
+def _cut(c: Column, pattern: str) -> Column:
+    return F.filter(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), lambda s: s != "")
+
+
+def _read_part(part: Column, links: bool) -> Column:
+    cells = F.transform(
+        _cut(part, CELL_PATTERN),
+        lambda c: F.struct(
+            _cell_code(c).alias("code"),
+            pieces(c).alias("pieces"),
+            F.lower(F.right(F.rtrim(c), F.lit(5))).isin("</td>", "</th>").alias("closed"),
+        ),
+    )
+    none = F.array().cast("array<struct<href:string>>")
+    return F.struct(
+        _part_code(part).alias("tag"),
+        F.filter(cells, lambda c: (c["code"] != OUTSIDE) | (F.size(c["pieces"]) > 0)).alias("cells"),
+        (anchors(part) if links else none).alias("links"),
+    )
+
+
+def _events_of(parts: Column) -> Column:
+    """Counts of each part; what follows a closed table becomes its own event.
+
+    A row end, and text after a table, say nothing when nothing is in them - but a
+    row end stays where a table follows outside any row.
+    """
+    counted = F.transform(
+        parts,
+        lambda p: F.struct(
+            p["tag"].alias("tag"),
+            F.transform(
+                p["cells"],
+                lambda c: F.struct(c["code"].alias("code"), F.size(c["pieces"]).alias("n"), c["closed"].alias("closed")),
+            ).alias("cells"),
+            F.size(p["links"]).alias("a"),
+        ),
+    )
+    empty = F.array().cast("array<struct<code:int,n:int,closed:boolean>>")
+    apart = F.flatten(
+        F.transform(
+            counted,
+            lambda p: F.when(
+                p["tag"] == TABLE_END,
+                F.array(
+                    F.struct(F.lit(TABLE_END).alias("tag"), empty.alias("cells"), F.lit(0).alias("a")),
+                    F.struct(F.lit(REST).alias("tag"), p["cells"].alias("cells"), p["a"].alias("a")),
+                ),
+            ).otherwise(F.array(p)),
+        )
+    )
+    following = F.concat(F.slice(apart["tag"], F.lit(2), F.size(apart)), F.array(F.lit(REST)))
+    tagged = F.zip_with(
+        apart, following, lambda p, t: F.struct(p["tag"].alias("tag"), p["cells"].alias("cells"), p["a"].alias("a"), t.alias("next"))
+    )
+    return F.filter(
+        tagged,
+        lambda p, i: (i == 0)
+        | (F.size(p["cells"]) > 0)
+        | (p["a"] > 0)
+        | p["tag"].isin(TABLE, TABLE_END, ROW)
+        | ((p["tag"] == ROW_END) & (p["next"] == TABLE)),
+    )
 
 
 def parse(docs: DataFrame, key: str, html: str = "html", links: bool = False) -> DataFrame:
@@ -97,118 +179,109 @@ def parse(docs: DataFrame, key: str, html: str = "html", links: bool = False) ->
 
     ``tables`` holds structs ``(pos, depth, row_lo, row_hi, piece_lo, piece_hi)``
     in document order, ``rows`` ``(pos, cell_lo, cell_hi, piece_lo, piece_hi,
-    link_lo, link_hi)`` and ``cells`` ``(pos, is_data, piece_lo, piece_hi)``.
+    link_lo, link_hi)`` and ``cells`` ``(is_data, piece_lo, piece_hi)``.
     Rows outside any table are listed too; no table range covers them.
     Documents with null HTML are left out; empty ones give empty lists.
     """
-    cut = docs.filter(F.col(html).isNotNull()).select(F.col(key), _segments(F.col(html)).alias("_s"))
-    read = cut.select(
-        key,
-        F.when(F.size("_s") == 0, F.array(F.lit(""))).otherwise(F.col("_s")).alias("_s"),
-    ).select(
-        key,
-        F.transform(
-            "_s",
-            lambda s: F.struct(
-                _tag_code(s).alias("tag"),
-                pieces(s).alias("pieces"),
-                (anchors(s) if links else F.array().cast("array<struct<href:string>>")).alias("links"),
-            ),
-        ).alias("_s"),
-    )
+    spelled = F.when(
+        F.contains(html, F.lit("/>")), F.regexp_replace(html, _EMPTY_ELEMENT, "<$1$2></$1>")
+    ).otherwise(F.col(html))
+    cut_up = docs.filter(F.col(html).isNotNull()).select(key, _cut(spelled, PART_PATTERN).alias("_p"))
+    # An empty document still gives one event, so that it keeps its row.
+    some = F.when(F.size("_p") == 0, F.array(F.lit(" "))).otherwise(F.col("_p"))
+    read = cut_up.select(key, some.alias("_p")).select(key, F.transform("_p", lambda p: _read_part(p, links)).alias("_p"))
     whole = read.select(
         key,
-        F.flatten(F.col("_s.pieces")).alias("_pieces"),
-        F.flatten(F.col("_s.links")).alias("_links"),
-        F.transform(
-            "_s",
-            lambda s: F.struct(
-                s["tag"].alias("tag"), F.size(s["pieces"]).alias("n"), F.size(s["links"]).alias("a")
-            ),
-        ).alias("_s"),
+        F.struct(
+            F.flatten(F.transform("_p", lambda p: F.flatten(p["cells"]["pieces"]))).alias("p"),
+            F.flatten(F.transform("_p", lambda p: p["links"])).alias("l"),
+        ).alias("text"),
+        _events_of(F.col("_p")).alias("_e"),
     )
-    events = whole.select(
-        key,
-        "_pieces",
-        "_links",
-        F.posexplode("_s").alias("pos", "_e"),
-    ).select(
+    # The outer form on purpose: for the inner one Spark infers a filter on the
+    # array and computes it again, regular expressions and all, for that filter.
+    events = whole.select(key, "text", F.posexplode_outer("_e").alias("pos", "_e")).select(
         key,
         "pos",
         F.col("_e.tag").alias("tag"),
-        F.col("_e.n").alias("n"),
+        F.col("_e.cells").alias("cells"),
         F.col("_e.a").alias("a"),
-        F.when(F.col("pos") == 0, F.struct(F.col("_pieces").alias("p"), F.col("_links").alias("l"))).alias("text"),
+        F.aggregate("_e.cells", F.lit(0), lambda s, c: s + c["n"]).alias("n"),
+        F.size(F.filter("_e.cells", lambda c: c["code"].isin(DATA, HEAD))).alias("c"),
+        F.when(F.col("pos") == 0, F.col("text")).alias("text"),
     )
 
     forward = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     tag = F.col("tag")
-    is_cell = tag.isin(DATA, HEAD)
+    is_row = (tag == ROW).cast("int")
+    before = lambda c: (F.sum(c).over(forward) - c).cast("int")
     counted = events.select(
         "*",
         F.sum(F.when(tag == TABLE, 1).when(tag == TABLE_END, -1).otherwise(0)).over(forward).alias("raw"),
-        (F.sum("n").over(forward) - F.col("n")).alias("p0"),
-        (F.sum("a").over(forward) - F.col("a")).alias("a0"),
-        (F.sum((tag == ROW).cast("int")).over(forward) - (tag == ROW).cast("int")).alias("r0"),
-        (F.sum(is_cell.cast("int")).over(forward) - is_cell.cast("int")).alias("c0"),
+        before(F.col("n")).alias("p0"),
+        before(F.col("a")).alias("a0"),
+        before(F.col("c")).alias("c0"),
+        before(is_row).alias("r0"),
     )
     # A close without an open must not push the depth below zero for good.
     depth = F.col("raw") - F.least(F.lit(0), F.min("raw").over(forward))
-    levelled = counted.withColumn("depth", depth).withColumn(
+    levelled = counted.withColumn("depth", depth.cast("int")).withColumn(
         "level", F.col("depth") + (tag == TABLE_END).cast("int")
     )
 
     backward = (
         Window.partitionBy(key, "level").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
     )
-    here = F.struct("p0", "a0", "r0", "c0")
-
-    def next_of(*codes):
-        return F.last(F.when(tag.isin(*codes), here), ignorenulls=True).over(backward)
-
-    ended = levelled.select(
-        key,
-        "pos",
-        "tag",
-        "depth",
-        "p0",
-        "a0",
-        "r0",
-        "c0",
-        "text",
-        F.when(tag == TABLE, next_of(TABLE, TABLE_END))
-        .when(tag == ROW, next_of(TABLE, TABLE_END, ROW, ROW_END))
-        .when(is_cell, next_of(TABLE, TABLE_END, ROW, ROW_END, DATA, HEAD, CELL_END))
-        .alias("end"),
-    )
-    size_t = F.struct(
-        F.col("pos"),
-        F.col("depth").cast("int").alias("depth"),
-        F.col("r0").cast("int").alias("row_lo"),
-        F.col("end.r0").cast("int").alias("row_hi"),
-        F.col("p0").cast("int").alias("piece_lo"),
-        F.col("end.p0").cast("int").alias("piece_hi"),
+    upcoming = lambda when, what: F.last(F.when(when, what), ignorenulls=True).over(backward)
+    # Where an event ends a cell left open before it: at its start, or at the
+    # first cell tag of text that merely goes on after a nested table.
+    first_tag = F.array_position(F.transform("cells", lambda c: c["code"] != OUTSIDE), True).cast("int")
+    until_tag = F.aggregate(F.slice("cells", F.lit(1), first_tag - 1), F.lit(0), lambda s, c: s + c["n"])
+    cell_stop = F.when(tag != REST, F.col("p0")).when(first_tag > 0, F.col("p0") + until_tag)
+    is_edge = tag.isin(TABLE, TABLE_END)
+    ended = levelled.withColumn("_stop", cell_stop).select(
+        *levelled.columns,
+        upcoming(F.col("_stop").isNotNull(), F.col("_stop")).alias("cell_end"),
+        upcoming(is_edge | tag.isin(ROW, ROW_END), F.struct("p0", "a0", "c0")).alias("row_end"),
+        upcoming(is_edge, F.struct("p0", "r0")).alias("table_end"),
     )
-    size_r = F.struct(
+    table = F.struct(
         F.col("pos"),
-        F.col("c0").cast("int").alias("cell_lo"),
-        F.col("end.c0").cast("int").alias("cell_hi"),
-        F.col("p0").cast("int").alias("piece_lo"),
-        F.col("end.p0").cast("int").alias("piece_hi"),
-        F.col("a0").cast("int").alias("link_lo"),
-        F.col("end.a0").cast("int").alias("link_hi"),
+        F.col("depth"),
+        F.col("r0").alias("row_lo"),
+        F.col("table_end.r0").alias("row_hi"),
+        F.col("p0").alias("piece_lo"),
+        F.col("table_end.p0").alias("piece_hi"),
     )
-    size_c = F.struct(
+    row = F.struct(
         F.col("pos"),
-        (tag == DATA).alias("is_data"),
-        F.col("p0").cast("int").alias("piece_lo"),
-        F.col("end.p0").cast("int").alias("piece_hi"),
+        F.col("c0").alias("cell_lo"),
+        F.col("row_end.c0").alias("cell_hi"),
+        F.col("p0").alias("piece_lo"),
+        F.col("row_end.p0").alias("piece_hi"),
+        F.col("a0").alias("link_lo"),
+        F.col("row_end.a0").alias("link_hi"),
     )
+
+    def placed(c, i):
+        lo = F.col("p0") + F.aggregate(F.slice("cells", F.lit(1), i), F.lit(0), lambda s, x: s + x["n"])
+        stays_open = (i == F.size("cells") - 1) & ~c["closed"]
+        return F.struct(
+            c["code"].alias("code"),
+            lo.alias("piece_lo"),
+            F.when(stays_open, F.col("cell_end")).otherwise(lo + c["n"]).alias("piece_hi"),
+        )
+
+    in_part = F.filter(F.transform("cells", placed), lambda c: c["code"].isin(DATA, HEAD))
     gathered = ended.groupBy(key).agg(
-        F.first("text", ignorenulls=True).alias("text"),
-        F.sort_array(F.collect_list(F.when(tag == TABLE, size_t))).alias("tables"),
-        F.sort_array(F.collect_list(F.when(tag == ROW, size_r))).alias("rows"),
-        F.sort_array(F.collect_list(F.when(is_cell, size_c))).alias("cells"),
+        # Not first(): its buffer would copy the whole text again for every event.
+        F.get(F.collect_list("text"), F.lit(0)).alias("text"),
+        F.sort_array(F.collect_list(F.when(tag == TABLE, table))).alias("tables"),
+        F.sort_array(F.collect_list(F.when(tag == ROW, row))).alias("rows"),
+        F.sort_array(F.collect_list(F.when(F.col("c") > 0, F.struct("pos", in_part.alias("cells"))))).alias("cells"),
+    )
+    flat = gathered.select(
+        key, F.col("text.p").alias("pieces"), F.col("text.l.href").alias("links"), "tables", "rows", F.flatten("cells.cells").alias("cells")
     )
 
     def closed(name, fields, totals):
@@ -218,11 +291,11 @@ def parse(docs: DataFrame, key: str, html: str = "html", links: bool = False) ->
             lambda e: F.struct(*[F.coalesce(e[f], totals[f]).alias(f) if f in totals else e[f].alias(f) for f in fields]),
         ).alias(name)
 
-    n_pieces, n_links = F.size("text.p"), F.size("text.l")
-    return gathered.select(
+    n_pieces, n_links = F.size("pieces"), F.size("links")
+    return flat.select(
         key,
-        F.col("text.p").alias("pieces"),
-        F.col("text.l.href").alias("links"),
+        "pieces",
+        "links",
         closed(
             "tables",
             ("pos", "depth", "row_lo", "row_hi", "piece_lo", "piece_hi"),
@@ -233,7 +306,14 @@ def parse(docs: DataFrame, key: str, html: str = "html", links: bool = False) ->
             ("pos", "cell_lo", "cell_hi", "piece_lo", "piece_hi", "link_lo", "link_hi"),
             {"cell_hi": F.size("cells"), "piece_hi": n_pieces, "link_hi": n_links},
         ),
-        closed("cells", ("pos", "is_data", "piece_lo", "piece_hi"), {"piece_hi": n_pieces}),
+        F.transform(
+            "cells",
+            lambda c: F.struct(
+                (c["code"] == DATA).alias("is_data"),
+                c["piece_lo"].alias("piece_lo"),
+                F.coalesce(c["piece_hi"], n_pieces).alias("piece_hi"),
+            ),
+        ).alias("cells"),
     )
 
 
@@ -241,8 +321,13 @@ def parse(docs: DataFrame, key: str, html: str = "html", links: bool = False) ->
 
 
 def cut(items: Column, lo: Column, hi: Column) -> Column:
-    """Elements ``lo`` (counted from 0) up to, not including, ``hi``."""
-    return F.slice(items, lo + 1, F.greatest(hi - lo, F.lit(0)))
+    """Elements ``lo`` (counted from 0) up to, not including, ``hi``.
+
+    Elements are taken one by one, which costs what is taken; ``slice`` would walk
+    the whole document's list each time.
+    """
+    taken = F.transform(F.sequence(lo, hi - 1), lambda i: F.get(items, i))
+    return F.when(hi > lo, taken).otherwise(F.slice(items, 1, 0))
 
 
 def text_of(element: Column, separator: str, parts: Column | None = None) -> Column:
@@ -251,6 +336,11 @@ def text_of(element: Column, separator: str, parts: Column | None = None) -> Col
     return F.array_join(cut(parts, element["piece_lo"], element["piece_hi"]), separator)
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def rows_of(table: Column) -> Column:
     return cut(F.col("rows"), table["row_lo"], table["row_hi"])
 
@@ -260,33 +350,40 @@ def cells_of(row: Column) -> Column:
 
 
 # --- relations --------------------------------------------------------------------
+# Each relation is shaped inside the document's row and only then unfolded, so no
+# document list is copied per table or per row.
 
 
 def tables(parsed: DataFrame, key: str) -> DataFrame:
     """``key, table_idx, depth, n_rows, text``: every table, nested ones too."""
-    return parsed.select(
-        key, "pieces", F.posexplode("tables").alias("table_idx", "t")
-    ).select(
-        key,
-        "table_idx",
-        F.col("t.depth").alias("depth"),
-        (F.col("t.row_hi") - F.col("t.row_lo")).alias("n_rows"),
-        text_of(F.col("t"), " ").alias("text"),
+    shaped = F.transform(
+        "tables",
+        lambda t: F.struct(
+            t["depth"].alias("depth"), (t["row_hi"] - t["row_lo"]).alias("n_rows"), text_of(t, " ").alias("text")
+        ),
+    )
+    return parsed.select(key, F.posexplode_outer(shaped).alias("table_idx", "t")).filter(F.col("t").isNotNull()).select(
+        key, "table_idx", "t.*"
     )
 
 
 def rows(parsed: DataFrame, key: str) -> DataFrame:
     """``key, table_idx, row_idx, n_cells, text``; outer tables list nested rows."""
-    per_table = parsed.select(
-        key, "pieces", "rows", F.posexplode("tables").alias("table_idx", "t")
-    ).select(key, "pieces", "table_idx", F.posexplode(rows_of(F.col("t"))).alias("row_idx", "r"))
-    return per_table.select(
-        key,
-        "table_idx",
-        "row_idx",
-        (F.col("r.cell_hi") - F.col("r.cell_lo")).alias("n_cells"),
-        text_of(F.col("r"), " ").alias("text"),
+    shaped = F.flatten(
+        F.transform(
+            "tables",
+            lambda t, i: F.transform(
+                rows_of(t),
+                lambda r, j: F.struct(
+                    i.alias("table_idx"),
+                    j.alias("row_idx"),
+                    (r["cell_hi"] - r["cell_lo"]).alias("n_cells"),
+                    text_of(r, " ").alias("text"),
+                ),
+            ),
+        )
     )
+    return parsed.select(key, F.explode_outer(shaped).alias("r")).filter(F.col("r").isNotNull()).select(key, "r.*")
 
 
 def cells(parsed: DataFrame, key: str) -> DataFrame:
@@ -294,20 +391,28 @@ def cells(parsed: DataFrame, key: str) -> DataFrame:
 
     ``text`` puts a space between pieces, ``joined`` nothing.
     """
-    per_row = (
-        parsed.select(key, "pieces", "rows", "cells", F.posexplode("tables").alias("table_idx", "t"))
-        .select(key, "pieces", "cells", "table_idx", F.posexplode(rows_of(F.col("t"))).alias("row_idx", "r"))
-        .select(key, "pieces", "table_idx", "row_idx", F.posexplode(cells_of(F.col("r"))).alias("cell_idx", "c"))
-    )
-    return per_row.select(
-        key,
-        "table_idx",
-        "row_idx",
-        "cell_idx",
-        F.col("c.is_data").alias("is_data"),
-        text_of(F.col("c"), " ").alias("text"),
-        text_of(F.col("c"), "").alias("joined"),
+    shaped = F.flatten(
+        F.transform(
+            "tables",
+            lambda t, i: F.flatten(
+                F.transform(
+                    rows_of(t),
+                    lambda r, j: F.transform(
+                        cells_of(r),
+                        lambda c, k: F.struct(
+                            i.alias("table_idx"),
+                            j.alias("row_idx"),
+                            k.alias("cell_idx"),
+                            c["is_data"].alias("is_data"),
+                            text_of(c, " ").alias("text"),
+                            text_of(c, "").alias("joined"),
+                        ),
+                    ),
+                )
+            ),
+        )
     )
+    return parsed.select(key, F.explode_outer(shaped).alias("c")).filter(F.col("c").isNotNull()).select(key, "c.*")
 
 
 # --- Markdown and plain text ---------------------------------------------------------
@@ -315,37 +420,43 @@ def cells(parsed: DataFrame, key: str) -> DataFrame:
 
 def _table_markdown(table: Column) -> Column:
     """Markdown grid of one table; '' when it has no rows or no cells."""
-    grid = F.transform(
-        rows_of(table),
-        lambda r: F.transform(cells_of(r), lambda c: F.replace(text_of(c, " "), F.lit("\n"), F.lit(" "))),
-    )
-    width = F.coalesce(F.array_max(F.transform(grid, lambda r: F.size(r))), F.lit(0))
-    lines = F.transform(
-        grid,
-        lambda r: F.concat(
-            F.lit("| "),
-            F.array_join(F.concat(r, F.array_repeat(F.lit(""), F.greatest(width - F.size(r), F.lit(0)))), " | "),
-            F.lit(" |"),
-        ),
-    )
-    divider = F.concat(F.lit("|"), F.repeat(F.lit("---|"), width))
-    ruled = F.concat(
-        F.slice(lines, 1, 1), F.array(divider), F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
-    )
-    return F.when(width > 0, F.array_join(ruled, "\n")).otherwise(F.lit(""))
+
+    def line(row, width):
+        texts = F.transform(cells_of(row), lambda c: F.replace(text_of(c, " "), F.lit("\n"), F.lit(" ")))
+        missing = F.greatest(width - (row["cell_hi"] - row["cell_lo"]), F.lit(0))
+        return F.concat(
+            F.lit("| "), F.array_join(F.concat(texts, F.array_repeat(F.lit(""), missing)), " | "), F.lit(" |")
+        )
+
+    def grid(width):
+        ruled = F.transform(
+            rows_of(table),
+            lambda r, i: F.concat(
+                line(r, width),
+                F.when(i == 0, F.concat(F.lit("\n|"), F.repeat(F.lit("---|"), width))).otherwise(""),
+            ),
+        )
+        return F.when(width > 0, F.array_join(ruled, "\n")).otherwise("")
+
+    return bind(_width(table), grid)
+
+
+def _width(table: Column) -> Column:
+    """Cells in a table's widest row, 0 without rows."""
+    return F.coalesce(F.array_max(F.transform(rows_of(table), lambda r: r["cell_hi"] - r["cell_lo"])), F.lit(0))
 
 
 def markdown(parsed: DataFrame, key: str) -> DataFrame:
     """``key, table_idx, width, markdown`` for every table."""
-    return parsed.select(
-        key, "pieces", "rows", "cells", F.posexplode("tables").alias("table_idx", "t")
-    ).select(
-        key,
-        "table_idx",
-        F.coalesce(
-            F.array_max(F.transform(rows_of(F.col("t")), lambda r: r["cell_hi"] - r["cell_lo"])), F.lit(0)
-        ).alias("width"),
-        _table_markdown(F.col("t")).alias("markdown"),
+    shaped = F.transform(
+        "tables",
+        lambda t: F.struct(
+            _width(t).alias("width"),
+            _table_markdown(t).alias("markdown"),
+        ),
+    )
+    return parsed.select(key, F.posexplode_outer(shaped).alias("table_idx", "t")).filter(F.col("t").isNotNull()).select(
+        key, "table_idx", "t.*"
     )
 
 
