@@ -216,10 +216,16 @@ def index_pages(pages: DataFrame) -> DataFrame:
 
 
 def filing_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Snapshot of all statements and index pages: ``url, html, status``."""
+    """Snapshot of all statements and index pages: ``url, html, status``.
+
+    Written out once, as a landed snapshot would be, so that scans of addresses
+    alone do not print the pages again.
+    """
+    from tiercast.plans.staging import stage
+
     pages = statement_pages(given(spark, sf, "year_figures"))
     both = pages.unionByName(index_pages(pages))
-    return both.select("url", "html", "status")
+    return stage(both.select("url", "html", "status"), "landed")
 
 
 def statement_requests(spark: SparkSession, sf: str) -> DataFrame:
