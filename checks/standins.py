@@ -123,7 +123,10 @@ def statement_pages(figures: DataFrame) -> DataFrame:
     error status.  All carry a cash-flow table, poison rows and a nested table.
     """
     years = F.sort_array(F.collect_list(F.struct("yr", "revenue", "net", "rnd")), asc=False)
-    docs = figures.groupBy("cik").agg(years.alias("ys"))
+    # The figures are small and would be read back as one partition; the pages
+    # printed from them are not, so spread them first.
+    spread = 2 * figures.sparkSession.sparkContext.defaultParallelism
+    docs = figures.groupBy("cik").agg(years.alias("ys")).repartition(spread, "cik")
     cik = F.col("cik")
 
     def cells(pick, footnote=""):
