@@ -228,3 +228,25 @@ def test_policies_differ_where_they_should():
     assert "YEAR_NOT_FOUND" not in cascade.BATCH.retry
     assert cascade.BATCH.failed is None and cascade.VERIFY.failed == "failed"
     assert cascade.VERIFY.url_first and not cascade.BATCH.url_first
+
+
+def test_stage_uses_the_named_folder(spark):
+    from tiercast.plans.staging import stage, stage_folder
+
+    assert stage_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert stage(spark.range(3)).count() == 3
+
+
+def test_empty_bodies_fail_the_download(spark):
+    from tiercast.plans.tier2 import scrape
+
+    rows = [("e", "", 200), ("x-index.htm", "", 200), ("p", "<p>no table</p>", 200), ("bad", "<table></table>", 404)]
+    docs = D.documents(spark.createDataFrame(rows, "url string, html string, status int"), status="status")
+    asked = spark.createDataFrame(
+        [(u, "NetIncomeLoss", 2014) for u in ("e", "x-index.htm", "p", "bad", "gone", "UNKNOWN", None)],
+        "url string, metric_name string, year int",
+    )
+    done = scrape(asked, docs, F.lit(True), F.col("url"), F.col("year"))
+    got = {r["url"]: r["t2"]["status"] for r in done.collect()}
+    assert got.pop("p") == "NO_TABLES"
+    assert set(got.values()) == {"DOWNLOAD_FAILED"} and len(got) == 6
