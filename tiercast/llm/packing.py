@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiercast.llm import words as W
+from tiercast.llm.tables import ship
 from tiercast.llm.tokens import WordIds
 from tiercast.plans.staging import stage
 
@@ -165,6 +166,7 @@ def pack(
             packer._emit(left, with_ids=True)
         yield from packer.batches(everything=True)
 
+    ship(docs.sparkSession)
     task = F.spark_partition_id()
     pieces = stage(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

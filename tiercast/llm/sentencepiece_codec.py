@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiercast.llm import words as W
+from tiercast.llm.tables import ship
 from tiercast.llm.tokens import WordIds
 
 MARK = "▁"
@@ -220,7 +221,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def in_task(batches):
         tool = codec(path)
-        for table in W.blocks(batches, size=4 << 20):
+        for table in W.blocks(batches):
             before = tool.differ
             ids, bounds = tool.encode(table.column("text"))
             plain = ["" if t is None else t for t in table.column("text").to_pylist()]
@@ -239,6 +240,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 names=["doc_id", "ids", "parity", "restored"],
             )
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(in_task, "doc_id long, ids array<int>, parity boolean, restored boolean")
 
@@ -255,4 +257,5 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
             texts = tool.decode(ids, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
+    ship(rows.sparkSession)
     return rows.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>")).mapInArrow(in_task, "doc_id long, text string")

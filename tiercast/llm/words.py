@@ -12,8 +12,8 @@ import zstandard
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_WORD = np.ones(256, np.uint8)
+_WORD[[9, 10, 11, 12, 13, 32]] = 0
 
 BLOCK_BYTES = 8 << 20
 
@@ -82,23 +82,25 @@ def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(value ^ ((ends - starts).astype(U64) << U64(56)))
 
 
-def word_ranges(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words (runs without ASCII white space) and the text each lies in."""
-    inside = ~_SPACE[raw]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
+def class_runs(raw: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes of one class (class 0 left out) and the text each lies in."""
+    kind = classes[raw]
+    begins = np.ones(len(raw), bool)
+    begins[1:] = kind[1:] != kind[:-1]
     edges = offsets[1:-1]
-    edges = edges[edges < len(raw)]
-    begins[edges] |= inside[edges]
-    closes = inside.copy()
-    closes[:-1] &= ~inside[1:]
-    inner = edges[edges > 0] - 1
-    closes[inner] |= inside[inner]
+    begins[edges[edges < len(raw)]] = True
     starts = np.flatnonzero(begins)
-    ends = np.flatnonzero(closes) + 1
+    ends = np.append(starts[1:], len(raw)) if len(starts) else starts
+    real = kind[starts] != 0
+    starts, ends = starts[real], ends[real]
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
+def word_ranges(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs without ASCII white space) and the text each lies in."""
+    return class_runs(raw, offsets, _WORD)
+
+
 def segments(owner: np.ndarray, n: int) -> np.ndarray:
     """The n + 1 bounds of each owner's run in a sorted array of owners."""
     return np.searchsorted(owner, np.arange(n + 1))
