@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiercast.llm import ann, exact_dedup, line_dedup, lm_scoring, packing, quality, secret_scans, sentencepiece_codec, suffix_dedup
+from tiercast.llm import ann, exact_dedup, line_dedup, lm_scoring, near_dedup, packing, quality, secret_scans, sentencepiece_codec, suffix_dedup
 from tiercast.llm.tables import read
 
 
@@ -22,6 +22,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.scores(read(spark, sf_dir, "documents"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(read(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = line_dedup.clean(read(spark, sf_dir, "documents"))
     return made.select("_row.doc_id", "_row.text", "_lines.n_lines", "_lines.n_removed")
@@ -58,6 +62,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_near_dedup": op3_near_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_suffix_dedup": op6_suffix_dedup,
