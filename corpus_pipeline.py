@@ -1,23 +1,34 @@
 """From raw documents to packed training sequences, stage by stage.
 
-Every stage is written as Parquet and read again as the next one's documents.
+Every stage is written as Parquet and read again as the next one's documents. All stages but
+the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tiercast.llm import exact_dedup, secret_scans
+from tiercast.llm import exact_dedup, near_dedup, quality, secret_scans
 from tiercast.llm.queries import pack_documents
 from tiercast.llm.tables import read
 from tiercast.plans.staging import stage
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.keep(docs, read(spark, sf_dir, "labels"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one stays."""
     return exact_dedup.keep(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates one document stays."""
+    return near_dedup.keep(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live-looking credentials are blanked; every document stays."""
     return secret_scans.redact(docs)
@@ -29,12 +40,14 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", good),
     ("exact_dedup", exact),
+    ("near_dedup", near),
     ("secret_scans", secrets),
     ("packing", packing),
 ]
 
-# Token ids have no SQL; the stages are tested against brute force.
+# A fitted classifier, weighted sampling and token ids have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
