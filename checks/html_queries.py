@@ -10,7 +10,6 @@ from tiercast.operators import html as H
 from tiercast.operators.landed import resolve
 from tiercast.operators.statement import statements
 from tiercast.plans.tier2 import scrape
-from tiercast.plans import tier2  # noqa: F401
 
 
 def _filings(spark, sf):

@@ -20,7 +20,7 @@ METRICS = dict(METRIC_COLUMNS)
 
 def _dirty(spark, sf):
     k = F.col("c_custkey").cast("string")
-    pick = F.col("c_custkey") % 8
+    pick = F.col("c_custkey") % 12
     text = (
         F.when(pick == 0, k)
         .when(pick == 1, F.concat(k, F.lit(".0")))
@@ -29,6 +29,10 @@ def _dirty(spark, sf):
         .when(pick == 4, F.lit(None).cast("string"))
         .when(pick == 5, F.concat(F.lit("  "), k, F.lit(" ")))
         .when(pick == 6, F.concat(k, F.lit("e1")))
+        .when(pick == 8, F.concat(k, F.lit("f")))
+        .when(pick == 9, F.concat(k, F.lit("d")))
+        .when(pick == 10, F.lit("inf"))
+        .when(pick == 11, F.lit("1e300"))
         .otherwise(F.concat(F.lit("-"), k, F.lit(".9")))
     )
     return S.table(spark, sf, "customer").select("c_custkey", text.alias("dirty"))
@@ -42,9 +46,9 @@ def key_coercion(spark: SparkSession, sf: str) -> DataFrame:
 
 KEY_COERCION = """
 SELECT c_custkey,
-  CAST(CASE c_custkey % 8 WHEN 0 THEN c_custkey WHEN 1 THEN c_custkey WHEN 5 THEN c_custkey
+  CAST(CASE c_custkey % 12 WHEN 0 THEN c_custkey WHEN 1 THEN c_custkey WHEN 5 THEN c_custkey
        WHEN 6 THEN c_custkey * 10 WHEN 7 THEN -c_custkey ELSE 0 END AS BIGINT) AS cik,
-  CAST(CASE c_custkey % 8 WHEN 0 THEN c_custkey WHEN 5 THEN c_custkey ELSE 0 END AS INTEGER) AS year
+  CAST(CASE c_custkey % 12 WHEN 0 THEN c_custkey WHEN 5 THEN c_custkey ELSE 0 END AS INTEGER) AS year
 FROM customer
 """
 
@@ -204,21 +208,11 @@ WITH {SWEEP_CTE} SELECT count(*) FILTER (WHERE winning_tier = 'TIER_1_XBRL') AS
 
 
 def tier1_preview(spark, sf):
-    few = S.given(spark, sf, "ciks").filter(F.col("cik") % 10 == 0)
-    swept = tier1.sweep(
-        few,
-        (1997, 1999, 2007),
-        METRICS,
-        S.given(spark, sf, "entities"),
-        S.given(spark, sf, "filings"),
-        S.given(spark, sf, "wide_facts"),
-    )
-    return preview(in_loop_order(swept, METRICS))
+    return preview(in_loop_order(_sweep(spark, sf), METRICS))
 
 
 TIER1_PREVIEW = f"""
-WITH {sweep_cte((1997, 1999, 2007), f"SELECT cik FROM ({S.CIKS}) WHERE cik % 10 = 0")}
-SELECT extraction_id, company_name, document_fiscal_year, period_start_date, period_end_date, metric_name, extracted_value, winning_tier
+WITH {SWEEP_CTE} SELECT extraction_id, company_name, document_fiscal_year, period_start_date, period_end_date, metric_name, extracted_value, winning_tier
 FROM sweep
 """
 

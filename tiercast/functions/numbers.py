@@ -22,8 +22,13 @@ def na_to_null(c: Column) -> Column:
 
 def coerce_key(c: Column) -> Column:
     """Any value to a BIGINT key; what is not a number becomes 0."""
-    number = F.nanvl(c.try_cast("double"), F.lit(0.0))
-    return F.coalesce(number.try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(float_of_text(c.cast("string")).try_cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def fact_number(c: Column) -> Column:
+    """Text of a fact to DOUBLE: the decimal grammar, and the texts of infinity and not-a-number."""
+    special = strip(c).rlike(r"(?i)^[+-]?(?:inf|infinity|nan)$")
+    return F.when(special, strip(c).try_cast("double")).otherwise(float_of_text(c))
 
 
 def parse_year(c: Column) -> Column:

@@ -7,7 +7,8 @@ How a document becomes a relation
    of a cell becomes a list of trimmed, entity-decoded pieces.
 2. One *event* row per part goes through one exchange by document: a tag code
    and a few counts, a row or two per table row.  The pieces of the whole document
-   travel once, on its first event, and the markup itself not at all.
+   are put into its first event before the events are unfolded - beside them, every
+   event row would be made with a copy of them - and the markup stays behind.
 3. Running sums give each event its table depth.  Inside one depth level a
    table, row or open cell ends at the next event of its kind or above, which
    one backward running window finds.  Nesting may be of any depth.
@@ -69,9 +70,23 @@ REST, TABLE, TABLE_END, ROW, ROW_END = 0, 1, 2, 3, 4
 OUTSIDE, DATA, HEAD, CELL_END = 0, 1, 2, 3
 
 
+def settle_comments(c: Column) -> Column:
+    """Respell comment openers that no ``-->`` follows, so that no pattern looks for one from each.
+
+    Such an opener is a plain declaration up to the next bracket, and text where none follows.
+    """
+    tail = F.substring_index(c, "-->", -1)
+    last = F.substring_index(tail, ">", -1)
+    head = F.substring(c, F.lit(1), F.length(c) - F.length(tail))
+    middle = F.substring(tail, F.lit(1), F.length(tail) - F.length(last))
+    opener = F.lit("<!--")
+    settled = F.concat(head, F.replace(middle, opener, F.lit("<!-")), F.replace(last, opener, F.lit("&lt;!--")))
+    return F.when(F.contains(tail, opener), settled).otherwise(c)
+
+
 def tokens(c: Column) -> Column:
-    """Markup tags and text runs of a document, in order, nothing lost."""
-    return F.regexp_extract_all(c, F.lit(TOKEN_PATTERN), F.lit(0))
+    """Markup tags and text runs of a document, in order, nothing lost (unclosed comments respelled)."""
+    return F.regexp_extract_all(settle_comments(c), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
 def token_tag(token: Column) -> Column:
@@ -184,23 +199,25 @@ def parse(docs: DataFrame, key: str, html: str = "html", links: bool = False) ->
     Documents with null HTML are left out; empty ones give empty lists.
     """
     spelled = F.when(
-        F.contains(html, F.lit("/>")), F.regexp_replace(html, _EMPTY_ELEMENT, "<$1$2></$1>")
-    ).otherwise(F.col(html))
-    cut_up = docs.filter(F.col(html).isNotNull()).select(key, _cut(spelled, PART_PATTERN).alias("_p"))
+        F.contains("_h", F.lit("/>")), F.regexp_replace("_h", _EMPTY_ELEMENT, "<$1$2></$1>")
+    ).otherwise(F.col("_h"))
+    settled = docs.filter(F.col(html).isNotNull()).select(key, settle_comments(F.col(html)).alias("_h"))
+    cut_up = settled.select(key, _cut(spelled, PART_PATTERN).alias("_p"))
     # An empty document still gives one event, so that it keeps its row.
     some = F.when(F.size("_p") == 0, F.array(F.lit(" "))).otherwise(F.col("_p"))
     read = cut_up.select(key, some.alias("_p")).select(key, F.transform("_p", lambda p: _read_part(p, links)).alias("_p"))
-    whole = read.select(
-        key,
-        F.struct(
-            F.flatten(F.transform("_p", lambda p: F.flatten(p["cells"]["pieces"]))).alias("p"),
-            F.flatten(F.transform("_p", lambda p: p["links"])).alias("l"),
-        ).alias("text"),
-        _events_of(F.col("_p")).alias("_e"),
+    text = F.struct(
+        F.flatten(F.transform("_p", lambda p: F.flatten(p["cells"]["pieces"]))).alias("p"),
+        F.flatten(F.transform("_p", lambda p: p["links"])).alias("l"),
+    )
+    with_text = F.transform(
+        _events_of(F.col("_p")),
+        lambda e, i: F.struct(e["tag"].alias("tag"), e["cells"].alias("cells"), e["a"].alias("a"), F.when(i == 0, text).alias("text")),
     )
+    whole = read.select(key, with_text.alias("_e"))
     # The outer form on purpose: for the inner one Spark infers a filter on the
     # array and computes it again, regular expressions and all, for that filter.
-    events = whole.select(key, "text", F.posexplode_outer("_e").alias("pos", "_e")).select(
+    events = whole.select(key, F.posexplode_outer("_e").alias("pos", "_e")).select(
         key,
         "pos",
         F.col("_e.tag").alias("tag"),
@@ -208,7 +225,7 @@ def parse(docs: DataFrame, key: str, html: str = "html", links: bool = False) ->
         F.col("_e.a").alias("a"),
         F.aggregate("_e.cells", F.lit(0), lambda s, c: s + c["n"]).alias("n"),
         F.size(F.filter("_e.cells", lambda c: c["code"].isin(DATA, HEAD))).alias("c"),
-        F.when(F.col("pos") == 0, F.col("text")).alias("text"),
+        F.col("_e.text").alias("text"),
     )
 
     forward = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
