@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from checks import html_queries, text_queries, tier1_queries
+from checks import html_queries, source_queries, text_queries, tier1_queries
 
-QUERIES = {**tier1_queries.QUERIES, **html_queries.QUERIES, **text_queries.QUERIES}
-ORACLES = {**tier1_queries.ORACLES, **html_queries.ORACLES, **text_queries.ORACLES}
+_MODULES = (tier1_queries, html_queries, text_queries, source_queries)
+QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
+ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}

@@ -250,3 +250,60 @@ def test_empty_bodies_fail_the_download(spark):
     got = {r["url"]: r["t2"]["status"] for r in done.collect()}
     assert got.pop("p") == "NO_TABLES"
     assert set(got.values()) == {"DOWNLOAD_FAILED"} and len(got) == 6
+
+
+def test_loop_order(spark):
+    """Company, then year, then catalogue order."""
+    from tiercast.operators.results import in_loop_order
+
+    rows = [(c, y, m) for m in ("b", "a", "c") for y in (2003, 2001) for c in (10, 9, 2)]
+    df = spark.createDataFrame(rows, "cik long, document_fiscal_year int, metric_name string").repartition(4)
+    got = [tuple(r) for r in in_loop_order(df, ["c", "a", "b"]).collect()]
+    assert got == [(c, y, m) for c in (2, 9, 10) for y in (2001, 2003) for m in ("c", "a", "b")]
+
+
+def test_overflowing_numbers_are_missing(spark, tmp_path):
+    facts = spark.createDataFrame(
+        [("inf", "2001", 1), ("1e300", "2001", 2), ("7", "1e300", 3), ("8", "2001", 4)],
+        "entitycentralindexkey string, documentfiscalyearfocus string, src_pos int",
+    )
+    drawn = {(r.cik, r.year) for r in verify.draw(facts).collect()}
+    assert drawn == {(None, 2001), (7, None), (8, 2001)}
+    (tmp_path / "r.csv").write_text("cik,document_fiscal_year,extracted_value\n1e300,inf,5\n3,2001,6\n")
+    got = {(r.cik, r.document_fiscal_year) for r in T.read_results(spark, str(tmp_path / "r.csv")).collect()}
+    assert got == {(None, None), (3, 2001)}
+
+
+def test_java_number_forms_are_no_numbers(spark):
+    from tiercast.functions.numbers import fact_number
+
+    got = spark.createDataFrame([("5f",), ("5d",), ("5",), ("1e3",), ("inf",), ("x",)], "v string").select(fact_number(F.col("v")).alias("v")).collect()
+    assert [r.v for r in got] == [None, None, 5.0, 1000.0, float("inf"), None]
+
+
+def test_landed_bodies_do_not_move(spark):
+    """Pruning and parsing a landed snapshot exchange addresses, never HTML."""
+    from tests.test_plans import plan_of
+    from tiercast.operators import html as H
+    from tiercast.operators.landed import wanted_documents
+
+    docs = D.land(spark.range(50).selectExpr("concat('u', id) AS url", "concat('<p>', id, '</p>') AS html", "200 AS status"))
+    urls = spark.range(0, 50, 7).selectExpr("concat('u', id) AS url")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parsed = H.parse(wanted_documents(docs, urls), "url")
+        plan = plan_of(parsed)
+        assert parsed.count() == 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    scan = next(i for i, line in enumerate(plan.splitlines()) if "FileScan" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    lines = plan.splitlines()
+    above = []
+    least = depth(lines[scan])
+    for line in reversed(lines[:scan]):
+        if depth(line) < least:
+            least = depth(line)
+            above.append(line)
+    assert not any("Exchange" in line for line in above)
