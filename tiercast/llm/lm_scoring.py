@@ -35,7 +35,7 @@ from tiercast.llm.text_blocks import opened, stage_blocks
 
 ORDER = 3
 BACKOFF = 0.4
-BLOCK_BYTES = 16 << 20  # of text in a block
+BLOCK_BYTES = 4 << 20  # of text in a block
 # Keys are the upper 56 bits of a hash: of 10 ** 13 n-grams one in 7,000 would share its count with another.
 KEY_BITS = 56
 MICRO = 1_000_000

@@ -15,7 +15,7 @@ _BASE_INVERSE = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _WORD = np.ones(256, np.uint8)
 _WORD[[9, 10, 11, 12, 13, 32]] = 0
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def blocks(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = BLOCK_BYTES) -> Iterator[pa.Table]:
@@ -73,12 +73,24 @@ def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+_STRETCH = 1 << 18
+
+
 def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every byte range, from one running polynomial sum over all bytes."""
-    power, inverse = _grown(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, U64)
-    np.cumsum((raw.astype(U64) + U64(1)) * power[: len(raw)], out=sums[1:])
-    value = (sums[ends] - sums[starts]) * inverse[starts]
+    """A 64-bit hash of every byte range (starts ascending), from running polynomial sums over stretches of bytes."""
+    value = np.empty(len(starts), U64)
+    at = 0
+    while at < len(starts):
+        left = int(starts[at])
+        to = int(np.searchsorted(starts, left + _STRETCH))
+        right = int(ends[at:to].max())
+        n = right - left
+        power, inverse = _grown(n + 1)
+        sums = np.zeros(n + 1, U64)
+        np.cumsum((raw[left:right].astype(U64) + U64(1)) * power[:n], out=sums[1:])
+        begin = starts[at:to] - left
+        value[at:to] = (sums[ends[at:to] - left] - sums[begin]) * inverse[begin]
+        at = to
     return mix(value ^ ((ends - starts).astype(U64) << U64(56)))
 
 
