@@ -12,8 +12,10 @@ one block of texts. Pieces are staged, since finished ones and leftovers are bot
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tiercast.llm import words as W
 from tiercast.llm.tables import ship
-from tiercast.llm.tokens import WordIds
+from tiercast.llm.tokens import WordIds, packed_ids
 from tiercast.plans.staging import stage
 
 WINDOW = 4096
@@ -116,22 +118,62 @@ class Packer:
             self.rows = []
 
 
+# Words of small a-z and small Latin-1 letters: normalised as they are, and one piece before merging.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
 def _encoder(path: str):
-    from tokenizers import Tokenizer
+    """Encode distinct words. Plain ones are a single piece each and go to the merges at once."""
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
-    return lambda items: [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in items], add_special_tokens=False)]
+    merges = tokenizer.model
+    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    letters = [bytes([b]).decode() for b in range(97, 123)] + [bytes([195, b]).decode() for b in range(159, 192) if b != 183]
+    as_bytes = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in letters})
+
+    def encode(items: list[bytes]) -> list[bytes]:
+        out = [packed_ids([t.id for t in merges.tokenize(w.decode().translate(as_bytes))]) if _PLAIN.fullmatch(w) else None for w in items]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        for k, e in zip(rest, tokenizer.encode_batch_fast([items[k].decode() for k in rest], add_special_tokens=False)):
+            out[k] = packed_ids(e.ids)
+        return out
+
+    return encode
+
+
+@lru_cache(maxsize=1)
+def _word_ids(path: str) -> WordIds:
+    """One encoder for all tasks of a worker, with what it remembers."""
+    return WordIds(_encoder(path))
+
+
+def _parted(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words with a full stop or comma behind a letter parted from it, as the tokenizer does."""
+    mark = (ends - starts > 1) & ((raw[ends - 1] == 46) | (raw[ends - 1] == 44))
+    before = raw[np.maximum(ends - 2, 0)]
+    mark &= (before >= 97) & (before <= 122)
+    at = np.flatnonzero(mark)
+    cut = ends[at] - 1
+    new_starts = np.insert(starts, at + 1, cut)
+    new_ends = np.insert(ends, at, cut)
+    return new_starts, new_ends, np.insert(owner, at, owner[at])
 
 
 def token_blocks(batches, path: str, end_id: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """Per block of texts: the document ids, all token ids with an end id per text, and the bounds per text.
 
-    White space separates words in this tokenizer's vocabulary and leaves no ids of its own.
+    This holds for a tokenizer like the given one: lower case, white space parts words and
+    leaves no ids of its own, and letters are parted from punctuation.
     """
-    encode = WordIds(_encoder(path))
-    for table in W.blocks(batches):
+    encode = _word_ids(path)
+    for table in W.blocks(batches, size=4 << 20):
         raw, offsets = W.text_bytes(table.column("text"))
-        starts, ends, owner = W.word_ranges(raw, offsets)
+        if b"<|" not in raw.tobytes():  # else a special token's text might come up that was not there
+            raw = _LOWER[raw]
+        starts, ends, owner = _parted(raw, *W.word_ranges(raw, offsets))
         ids, lengths = encode(raw, starts, ends)
         n = table.num_rows
         per_text = np.bincount(owner, weights=lengths, minlength=n).astype(np.int64) if len(owner) else np.zeros(n, np.int64)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tiercast.llm import words as W
 from tiercast.llm.tables import ship
-from tiercast.llm.tokens import WordIds
+from tiercast.llm.tokens import WordIds, packed_ids
 
 MARK = "▁"
 # Fixed values of the message format: kinds of piece and of model.
@@ -158,7 +158,7 @@ class Codec:
         self.piece_starts = np.cumsum(self.piece_sizes) - self.piece_sizes
         self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
 
-    def _encode(self, cuts: list[bytes]) -> list[list[int]]:
+    def _encode(self, cuts: list[bytes]) -> list[bytes]:
         """Encode distinct cuts and verify each against the sentencepiece library; its answer wins a dispute."""
         texts = [c.decode() for c in cuts]
         mine = [e.ids for e in self.tokenizer.encode_batch_fast([t.replace(" ", MARK) for t in texts], add_special_tokens=False)]
@@ -172,7 +172,7 @@ class Codec:
                 self.differ += 1
                 if len(self.wrong) < 100_000:
                     self.wrong.add(cuts[k])
-        return theirs if self.differ else mine
+        return [packed_ids(ids) for ids in (theirs if self.differ else mine)]
 
     def encode(self, texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids and the bounds per text."""

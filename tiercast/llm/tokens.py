@@ -7,21 +7,28 @@ met before by the worker are encoded, and the ids are gathered back as arrays.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable
 
 import numpy as np
 
 from tiercast.llm import words as W
 
-REMEMBERED = 200_000
+REMEMBERED = 150_000
+AT_ONCE = 8192
 
 
 class WordIds:
-    """Ids of words, with a bounded memory of words met before."""
+    """Ids of words, with a bounded memory of those met lately.
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]]):
+    ``encode`` gives the ids of words as little-endian unsigned 32-bit numbers. Words not met
+    since ``REMEMBERED`` others were are forgotten.
+    """
+
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]]):
         self._encode = encode
-        self._known: dict[bytes, list[int]] = {}
+        self._new: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
 
     def __call__(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, flat, and how many each has."""
@@ -30,16 +37,21 @@ class WordIds:
         _, first, back = np.unique(W.range_hashes(raw, starts, ends), return_index=True, return_inverse=True)
         data = raw.tobytes()
         distinct = [data[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())]
-        known = self._known
-        new = [w for w in distinct if w not in known]
-        fresh = dict(zip(new, self._encode(new))) if new else {}
-        lists = [fresh[w] if w in fresh else known[w] for w in distinct]
-        if len(known) + len(fresh) > REMEMBERED:
-            known.clear()
-        if len(fresh) <= REMEMBERED:
-            known.update(fresh)
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for ids in lists for i in ids), np.uint32, int(sizes.sum()))
+        here = {w: self._new.get(w) or self._old.get(w) for w in distinct}
+        unknown = [w for w, ids in here.items() if ids is None]
+        for k in range(0, len(unknown), AT_ONCE):
+            part = unknown[k : k + AT_ONCE]
+            here.update(zip(part, self._encode(part)))
+        self._new.update(here)
+        if len(self._new) > REMEMBERED:
+            self._old, self._new = self._new, {}
+        lists = [here[w] for w in distinct]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), "<u4")
         at = np.cumsum(sizes) - sizes
         lengths = sizes[back]
         return flat[W.spread(at[back], lengths)], lengths
+
+
+def packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
