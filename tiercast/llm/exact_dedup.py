@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiercast.llm.tables import packed, text_of, unpacked
+from tiercast.plans.staging import stage
 
 # The white space that does not count.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -64,6 +65,8 @@ def groups(docs: DataFrame, hash_of=content_hash) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns; rows that repeat id and text stay together."""
-    gone = groups(docs).where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    rows = packed(docs, _mine=F.sha2(normalised(text_of()), 256))
-    return unpacked(rows.join(gone, F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_sha")), "left_anti"))
+    # Beside the id the hash only tells apart rows that share one.
+    dropped = groups(docs).where("not kept").select(F.col("doc_id").alias("_id"), F.xxhash64("text_sha256").alias("_key"))
+    gone = stage(dropped.distinct(), "gone")  # its size on disk lets Spark choose whether texts must move
+    rows = packed(docs, _mine=F.xxhash64(F.sha2(normalised(text_of()), 256)))
+    return unpacked(rows.join(gone, F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_key")), "left_anti"))

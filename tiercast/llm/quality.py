@@ -223,6 +223,7 @@ def scored(
 
 def keep(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """The documents that stay, with all their columns."""
-    gone = scored(docs, labels, **how).where("not keep").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    rejected = scored(docs, labels, **how).where("not keep").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    gone = stage(rejected.distinct(), "gone")  # its size on disk lets Spark choose whether texts must move
     rows = packed(docs, _mine=F.xxhash64(text_of()))
     return unpacked(rows.join(gone, F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_key")), "left_anti"))

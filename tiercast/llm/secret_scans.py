@@ -156,6 +156,7 @@ def redact(docs: DataFrame, owner: str = "source", repository: list[str] = ("sou
     """
     spans = judged(located(candidates(docs, owner, repository)), copied_owners)
     live = spans.where("live").groupBy("doc_id").agg(F.collect_set("h").alias("_live")).withColumnRenamed("doc_id", "_id")
+    live = stage(live, "live")  # its size on disk lets Spark choose whether texts must move
     text = F.col("_t")
     for _, pattern, group, _ in KINDS:
         text = _blanked(text, pattern, group)
