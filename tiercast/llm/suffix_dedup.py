@@ -37,7 +37,8 @@ from tiercast.plans.staging import stage
 WIDTH = 50
 ANCHOR = 16
 SPAN = WIDTH - ANCHOR + 1  # anchors a window can have, and windows a run can have
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
+STRETCH = 8192  # runs whose windows are compared at a time
 _LAST = np.iinfo(np.int64).max  # null ids come last
 
 
@@ -206,14 +207,8 @@ def _contexts(blocks: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
     return texts.cogroup(answers.groupBy("block")).applyInArrow(of_block, "range int, block long, data binary, bytes binary")
 
 
-def _answer_windows(table: pa.Table) -> pa.Table:
-    """Compare the windows of all runs of one key range: a bit per window that a smaller document has."""
-    parts = [W.unsqueeze(d, np.uint64, np.int64, np.uint8) for d in table.column("data").to_pylist()]
-    raws = [W.unsqueeze(b, np.uint8)[0] for b in table.column("bytes").to_pylist()]
-    key = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-    doc = np.concatenate([p[1] for p in parts])
-    count = np.concatenate([p[2] for p in parts]).astype(np.int64)
-    raw = np.concatenate(raws)
+def _window_masks(key: np.ndarray, doc: np.ndarray, count: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """For runs with their bytes one after another: a bit per window that a smaller document has."""
     size = count + WIDTH - 1
     begin = np.cumsum(size) - size
     windows = W.spread(begin, count)
@@ -229,6 +224,28 @@ def _answer_windows(table: pa.Table) -> pa.Table:
     bit = (windows - begin[which]).astype(W.U64)
     masks = np.zeros(len(count), W.U64)
     np.bitwise_or.at(masks, which[hit], W.U64(1) << bit[hit])
+    return masks
+
+
+def _answer_windows(table: pa.Table) -> pa.Table:
+    """Compare the windows of all runs of one key range, a stretch of keys at a time."""
+    parts = [W.unsqueeze(d, np.uint64, np.int64, np.uint8) for d in table.column("data").to_pylist()]
+    raw = np.concatenate([W.unsqueeze(b, np.uint8)[0] for b in table.column("bytes").to_pylist()])
+    key = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+    doc = np.concatenate([p[1] for p in parts])
+    count = np.concatenate([p[2] for p in parts]).astype(np.int64)
+    size = count + WIDTH - 1
+    begin = np.cumsum(size) - size
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    masks = np.zeros(len(key), W.U64)
+    first = 0
+    while first < len(order):
+        last = min(first + STRETCH, len(order))
+        last = int(np.searchsorted(ranked, ranked[last - 1], side="right"))  # an anchor's runs stay together
+        some = order[first:last]
+        masks[some] = _window_masks(key[some], doc[some], count[some], raw[W.spread(begin[some], size[some])])
+        first = last
     ends = np.cumsum([len(p[0]) for p in parts])
     out = [W.squeeze(masks[e - len(p[0]) : e]) for p, e in zip(parts, ends)]
     return pa.table({"block": table.column("block"), "range": table.column("range"), "kind": pa.array([2] * len(out), pa.int32()), "data": pa.array(out, pa.binary())})
