@@ -208,8 +208,9 @@ def test_one_large_group(spark):
     assert got == brute_classes(rows)
 
 
-def test_divided_buckets(spark, monkeypatch):
-    """With buckets of at most two vertices looked at pair by pair, larger ones are divided and nothing is lost."""
+@pytest.mark.parametrize("small, large", [(2, 2), (2, 1000)])
+def test_divided_buckets(spark, monkeypatch, small, large):
+    """Few buckets are small enough to be looked at pair by pair: larger ones are divided, or compared by samples."""
     rng = random.Random(4)
     passage = [rng.choice("abcdefgh") * 3 + str(rng.randrange(900)) for _ in range(200)]
     rows = []
@@ -217,7 +218,7 @@ def test_divided_buckets(spark, monkeypatch):
         own = [f"w{i}x{k}" for k in range(60)]
         rows += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + own[:-1] + ["other"]))]
     docs = table(spark, rows)
-    monkeypatch.setattr(near_dedup.links, "__defaults__", (2,))
+    monkeypatch.setattr(near_dedup.links, "__defaults__", (small, large))
     assert found_classes(near_dedup.classes(docs)) == brute_classes(rows)
 
 

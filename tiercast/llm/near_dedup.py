@@ -16,8 +16,11 @@ are what such links connect.
 3. In each bucket of equal band keys every vertex is paired with the bucket's least vertex: a
    group of any size gives one pair per member and band. Pairs are verified on whole texts.
 4. Links are joined to classes. Buckets that still hold several classes are looked at again:
-   up to ``SMALL`` vertices, pairs across classes are verified; larger ones are divided by
-   every further band key and go through 3 again. Nothing is dropped at any size.
+   up to ``SMALL`` vertices, pairs across classes are verified. In larger ones the samples of
+   members are compared, block against block, and only pairs across classes that agree in at
+   least 34 of 56 samples are verified (a pair at similarity 0.8 falls short with probability
+   0.0003). Buckets of more than ``LARGE`` vertices are first divided by every further band key
+   and go through 3 again. Nothing is dropped at any size.
 """
 
 from __future__ import annotations
@@ -39,6 +42,9 @@ BANDS, ROWS = 14, 4
 SKETCH = 1 << 20
 PART = 1 << 15  # counters that travel together
 SMALL = 64
+LARGE = 16_384
+BLOCK = 1024
+AGREE = 34
 _RARE = math.log(1000)
 
 
@@ -181,7 +187,7 @@ def keys_of(hashes: np.ndarray, tf: np.ndarray, bounds: np.ndarray) -> list[byte
 
 
 def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
-    """Staged: ``doc_id, key, bands`` (both null for a text without words)."""
+    """Staged: ``doc_id, key, bands, marks`` (all null for a text without words); marks are 16 bits of each sample."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # a fixed number of counters
 
     def in_task(batches):
@@ -191,6 +197,7 @@ def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
             bounds = W.segments(whose, n)
             some = np.flatnonzero(np.diff(bounds))
             bands: list[np.ndarray | None] = [None] * n
+            marks: list[bytes | None] = [None] * n
             if len(some):
                 drawn = samples(hashes, weigh(hashes, tf), np.append(bounds[:-1][some], bounds[-1]))
                 key = np.zeros((len(some), BANDS), W.U64)
@@ -199,13 +206,20 @@ def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
                 key = W.mix(key + np.arange(BANDS, dtype=W.U64))
                 for k, values in zip(some.tolist(), key.view(np.int64)):
                     bands[k] = values
+                for k, values in zip(some.tolist(), (drawn >> W.U64(48)).astype(np.uint16)):
+                    marks[k] = values.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [table.column("doc_id").combine_chunks(), pa.array(keys_of(hashes, tf, bounds), pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "key", "bands"],
+                [
+                    table.column("doc_id").combine_chunks(),
+                    pa.array(keys_of(hashes, tf, bounds), pa.binary()),
+                    pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(marks, pa.binary()),
+                ],
+                names=["doc_id", "key", "bands", "marks"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return stage(rows.mapInArrow(in_task, "doc_id long, key binary, bands array<long>"), "signatures")
+    return stage(rows.mapInArrow(in_task, "doc_id long, key binary, bands array<long>, marks binary"), "signatures")
 
 
 def similarities(a: pa.ChunkedArray, b: pa.ChunkedArray, weigh: Weights) -> tuple[np.ndarray, list, list]:
@@ -267,7 +281,48 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         labels = new.select("v", "label")
 
 
-def links(docs: DataFrame, vertices: DataFrame, weights, similarity: float, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
+def _alike(members: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` across classes whose samples agree often enough, of ``bucket, n, v, label, marks``.
+
+    Members of a bucket are packed into blocks, and blocks of one bucket meet in pairs.
+    """
+
+    def pack(key, table):
+        values = (
+            [key[0].as_py()],
+            [key[1].as_py()],
+            [table.column("v").to_numpy().astype(np.int64).tobytes()],
+            [table.column("label").to_numpy().astype(np.int64).tobytes()],
+            [b"".join(table.column("marks").to_pylist())],
+        )
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.table({n: pa.array(v, t) for n, v, t in zip(("bucket", "block", "v", "label", "marks"), values, kinds)})
+
+    def compare(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                (v, x, m), (w, y, k) = (
+                    (np.frombuffer(row["v" + s], np.int64), np.frombuffer(row["label" + s], np.int64), np.frombuffer(row["marks" + s], np.uint16).reshape(-1, BANDS * ROWS))
+                    for s in ("", "_2")
+                )
+                for i in range(len(v)):
+                    some = np.flatnonzero((y != x[i]) & ((w > v[i]) | (row["block"] != row["block_2"])))
+                    if len(some):
+                        hits = w[some[np.count_nonzero(k[some] == m[i], axis=1) >= AGREE]]
+                        if len(hits):
+                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(hits, v[i])), pa.array(np.maximum(hits, v[i]))], names=["a", "b"])
+
+    block = F.pmod(F.xxhash64("v"), F.ceil(F.col("n") / BLOCK)).alias("block")
+    packs = members.select("bucket", block, "v", "label", "marks").groupBy("bucket", "block").applyInArrow(pack, "bucket long, block long, v binary, label binary, marks binary")
+    packs = stage(packs, "blocks")
+    other = packs.select("bucket", *[F.col(c).alias(f"{c}_2") for c in ("block", "v", "label", "marks")])
+    pairs = packs.join(other, "bucket").where("block <= block_2").repartition("bucket", "block", "block_2")
+    return pairs.mapInArrow(compare, "a long, b long")
+
+
+def links(
+    docs: DataFrame, vertices: DataFrame, weights, similarity: float, small: int = SMALL, large: int = LARGE
+) -> tuple[DataFrame, DataFrame]:
     """All links found (``a, b, similarity``) and the classes (``v, label``) they make."""
     spark = docs.sparkSession
     bucket = vertices.select("v", F.posexplode("bands").alias("band", "bucket"))
@@ -296,12 +351,16 @@ def links(docs: DataFrame, vertices: DataFrame, weights, similarity: float, smal
         few = labelled.join(mixed.where(F.col("n") <= small).select("bucket"), "bucket")
         lists = few.groupBy("bucket").agg(F.collect_list(F.struct("v", "label")).alias("members"))  # at most ``small`` of them
         across = lists.select("members", F.explode("members").alias("p")).select("p", F.explode("members").alias("q"))
-        run(across.where("p.v < q.v and p.label <> q.label").select(F.col("p.v").alias("a"), F.col("q.v").alias("b")).distinct())
-        large = mixed.where(F.col("n") > small).select("bucket")
-        if large.isEmpty():
+        again = across.where("p.v < q.v and p.label <> q.label").select(F.col("p.v").alias("a"), F.col("q.v").alias("b"))
+        middle = mixed.where((F.col("n") > small) & (F.col("n") <= max(small, large)))
+        if not middle.isEmpty():
+            again = again.union(_alike(bucket.join(middle, "bucket").join(labels, "v").join(vertices.select("v", "marks"), "v")))
+        run(again.distinct())
+        huge = mixed.where(F.col("n") > max(small, large)).select("bucket")
+        if huge.isEmpty():
             break
         further = vertices.select("v", F.posexplode("bands").alias("more", "by"))
-        finer = bucket.join(large, "bucket", "left_semi").join(further, "v").where("more > band")
+        finer = bucket.join(huge, "bucket", "left_semi").join(further, "v").where("more > band")
         bucket = stage(finer.select("v", F.col("more").alias("band"), F.xxhash64("bucket", "by").alias("bucket")), "buckets")
     empty = spark.createDataFrame([], "a long, b long, similarity double")
     return (empty if found is None else found), labels
@@ -320,8 +379,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     weigh = Weights(cells, texts)
     rows = signatures(docs, weigh)
     order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("id"))
-    alike = rows.where("key is not null").groupBy("key").agg(F.min(order).alias("best"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n"))
-    vertices = stage(alike.select(F.monotonically_increasing_id().alias("v"), "key", F.col("best.id").alias("rep"), "bands", "n"), "vertices")
+    alike = rows.where("key is not null").groupBy("key").agg(F.min(order).alias("best"), F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.count(F.lit(1)).alias("n"))
+    vertices = stage(alike.select(F.monotonically_increasing_id().alias("v"), "key", F.col("best.id").alias("rep"), "bands", "marks", "n"), "vertices")
     found, labels = links(docs, vertices, docs.sparkSession.sparkContext.broadcast(weigh), similarity)
     degree = found.select(F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n_links"))
     named = vertices.select("v", "key", "rep", "n").join(labels, "v").join(degree, "v", "left")
@@ -347,4 +406,5 @@ def keep(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """
     found = classes(docs, similarity)
     gone = found.groupBy("doc_id").agg(F.max(F.col("kept").cast("int")).alias("stays")).where("stays = 0").select(F.col("doc_id").alias("_gone"))
+    gone = stage(gone, "gone")  # its size on disk lets Spark choose whether texts must move
     return unpacked(packed(docs).join(gone, F.col("_row.doc_id").eqNullSafe(F.col("_gone")), "left_anti"))
