@@ -222,6 +222,24 @@ def test_divided_buckets(spark, monkeypatch, small, large):
     assert found_classes(near_dedup.classes(docs)) == brute_classes(rows)
 
 
+@pytest.mark.parametrize("block", [16, 1024])
+def test_pairs_of_one_band(spark, monkeypatch, block):
+    """In buckets that are all too large, links are found although their ends share no further band."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rng = random.Random(5)
+    passage = [rng.choice("abcdefgh") * 3 + str(rng.randrange(900)) for _ in range(200)]
+    rows = []
+    for i in range(40):
+        own = [f"w{i}x{k}" for k in range(60)]
+        rows += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + own[:-1] + ["other"]))]
+    docs = table(spark, rows)
+    weigh = near_dedup.Weights(*near_dedup.frequencies(docs))
+    one_band = F.expr("transform(bands, (x, i) -> if(i = 0, 0L, doc_id * 100 + i))")
+    vertices = near_dedup.signatures(docs, weigh).select(F.col("doc_id").alias("v"), "key", F.col("doc_id").alias("rep"), one_band.alias("bands"), "marks")
+    _, labels = near_dedup.links(docs, vertices, spark.sparkContext.broadcast(weigh), near_dedup.SIMILARITY, small=2, large=2)
+    assert {r.v: r.label for r in labels.collect()} == {i: i - i % 2 for i in range(80)}
+
+
 def test_near_awkward_rows(spark):
     docs = clashing(awkward(spark))
     got = Counter((r.doc_id, r.class_id, r.class_size) for r in near_dedup.classes(docs).collect())

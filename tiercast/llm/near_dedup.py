@@ -19,8 +19,8 @@ are what such links connect.
    up to ``SMALL`` vertices, pairs across classes are verified. In larger ones the samples of
    members are compared, block against block, and only pairs across classes that agree in at
    least 34 of 56 samples are verified (a pair at similarity 0.8 falls short with probability
-   0.0003). Buckets of more than ``LARGE`` vertices are first divided by every further band key
-   and go through 3 again. Nothing is dropped at any size.
+   0.0003). Buckets of more than ``LARGE`` vertices are compared in the same way, but last, when
+   the links of all others have joined classes. No bucket is too large to be compared whole.
 """
 
 from __future__ import annotations
@@ -284,40 +284,45 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 def _alike(members: DataFrame) -> DataFrame:
     """Pairs ``a, b`` across classes whose samples agree often enough, of ``bucket, n, v, label, marks``.
 
-    Members of a bucket are packed into blocks, and blocks of one bucket meet in pairs.
+    Members of a bucket are packed into blocks, and blocks of one bucket meet in pairs: each is
+    sent to its meetings from where it lies, so that no task holds more than two of them.
     """
 
     def pack(key, table):
         values = (
             [key[0].as_py()],
             [key[1].as_py()],
+            [table.column("blocks")[0].as_py()],
             [table.column("v").to_numpy().astype(np.int64).tobytes()],
             [table.column("label").to_numpy().astype(np.int64).tobytes()],
             [b"".join(table.column("marks").to_pylist())],
         )
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-        return pa.table({n: pa.array(v, t) for n, v, t in zip(("bucket", "block", "v", "label", "marks"), values, kinds)})
-
-    def compare(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                (v, x, m), (w, y, k) = (
-                    (np.frombuffer(row["v" + s], np.int64), np.frombuffer(row["label" + s], np.int64), np.frombuffer(row["marks" + s], np.uint16).reshape(-1, BANDS * ROWS))
-                    for s in ("", "_2")
-                )
-                for i in range(len(v)):
-                    some = np.flatnonzero((y != x[i]) & ((w > v[i]) | (row["block"] != row["block_2"])))
-                    if len(some):
-                        hits = w[some[np.count_nonzero(k[some] == m[i], axis=1) >= AGREE]]
-                        if len(hits):
-                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(hits, v[i])), pa.array(np.maximum(hits, v[i]))], names=["a", "b"])
-
-    block = F.pmod(F.xxhash64("v"), F.ceil(F.col("n") / BLOCK)).alias("block")
-    packs = members.select("bucket", block, "v", "label", "marks").groupBy("bucket", "block").applyInArrow(pack, "bucket long, block long, v binary, label binary, marks binary")
-    packs = stage(packs, "blocks")
-    other = packs.select("bucket", *[F.col(c).alias(f"{c}_2") for c in ("block", "v", "label", "marks")])
-    pairs = packs.join(other, "bucket").where("block <= block_2").repartition("bucket", "block", "block_2")
-    return pairs.mapInArrow(compare, "a long, b long")
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.table({n: pa.array(v, t) for n, v, t in zip(("bucket", "block", "blocks", "v", "label", "marks"), values, kinds)})
+
+    def compare(key, table):
+        sides = [
+            (np.frombuffer(r["v"], np.int64), np.frombuffer(r["label"], np.int64), np.frombuffer(r["marks"], np.uint16).reshape(-1, BANDS * ROWS)) for r in table.to_pylist()
+        ]
+        same = key[1].as_py() == key[2].as_py()
+        out = [np.zeros((2, 0), np.int64)]
+        if same or len(sides) == 2:  # a block that got no member meets nobody
+            (v, x, m), (w, y, k) = sides[0], sides[-1]
+            for i in range(len(v)):
+                some = np.flatnonzero((y != x[i]) & (w > v[i])) if same else np.flatnonzero(y != x[i])
+                hits = w[some[np.count_nonzero(k[some] == m[i], axis=1) >= AGREE]]
+                if len(hits):
+                    out.append(np.stack([np.minimum(hits, v[i]), np.maximum(hits, v[i])]))
+        a, b = np.concatenate(out, axis=1)
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+    blocks = F.ceil(F.col("n") / BLOCK)
+    block = F.pmod(F.xxhash64("v"), blocks).alias("block")
+    packs = members.select("bucket", block, blocks.alias("blocks"), "v", "label", "marks").groupBy("bucket", "block")
+    packs = stage(packs.applyInArrow(pack, "bucket long, block long, blocks long, v binary, label binary, marks binary"), "blocks")
+    sent = packs.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = sent.select("bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "v", "label", "marks")
+    return met.groupBy("bucket", "one", "two").applyInArrow(compare, "a long, b long")
 
 
 def links(
@@ -329,39 +334,35 @@ def links(
     own = vertices.select("v", F.col("v").alias("label"))
     found = tested = None
     labels = own
-    while True:
-        several = lambda df: df.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("v").alias("a"), F.count(F.lit(1)).alias("n")).where("x < y")
-        labelled = bucket.join(labels, "v")
-        stars = labelled.join(several(labelled).select("bucket", "a"), "bucket").where("a < v").select("a", F.col("v").alias("b")).distinct()
-
-        def run(pairs: DataFrame) -> None:
-            nonlocal found, tested, labels
-            new = stage(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "candidates")
-            if new.isEmpty():
-                return
-            tested = new if tested is None else tested.union(new)
-            good = verified(docs, vertices, new, weights, similarity)
-            found = good if found is None else found.union(good)
-            classes = components(spark, found)
-            labels = stage(own.select("v").join(classes, "v", "left").select("v", F.coalesce("label", "v").alias("label")), "all-labels")
-
-        run(stars)
-        labelled = bucket.join(labels, "v")
-        mixed = stage(several(labelled).select("bucket", "n"), "mixed")
-        few = labelled.join(mixed.where(F.col("n") <= small).select("bucket"), "bucket")
-        lists = few.groupBy("bucket").agg(F.collect_list(F.struct("v", "label")).alias("members"))  # at most ``small`` of them
-        across = lists.select("members", F.explode("members").alias("p")).select("p", F.explode("members").alias("q"))
-        again = across.where("p.v < q.v and p.label <> q.label").select(F.col("p.v").alias("a"), F.col("q.v").alias("b"))
-        middle = mixed.where((F.col("n") > small) & (F.col("n") <= max(small, large)))
-        if not middle.isEmpty():
-            again = again.union(_alike(bucket.join(middle, "bucket").join(labels, "v").join(vertices.select("v", "marks"), "v")))
-        run(again.distinct())
-        huge = mixed.where(F.col("n") > max(small, large)).select("bucket")
-        if huge.isEmpty():
-            break
-        further = vertices.select("v", F.posexplode("bands").alias("more", "by"))
-        finer = bucket.join(huge, "bucket", "left_semi").join(further, "v").where("more > band")
-        bucket = stage(finer.select("v", F.col("more").alias("band"), F.xxhash64("bucket", "by").alias("bucket")), "buckets")
+    several = lambda df: df.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("v").alias("a"), F.count(F.lit(1)).alias("n")).where("x < y")
+    by_samples = lambda some: _alike(bucket.join(some, "bucket").join(labels, "v").join(vertices.select("v", "marks"), "v"))
+
+    def run(pairs: DataFrame) -> None:
+        nonlocal found, tested, labels
+        new = stage(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "candidates")
+        if new.isEmpty():
+            return
+        tested = new if tested is None else tested.union(new)
+        good = verified(docs, vertices, new, weights, similarity)
+        found = good if found is None else found.union(good)
+        classes = components(spark, found)
+        labels = stage(own.select("v").join(classes, "v", "left").select("v", F.coalesce("label", "v").alias("label")), "all-labels")
+
+    labelled = bucket.join(labels, "v")
+    run(labelled.join(several(labelled).select("bucket", "a"), "bucket").where("a < v").select("a", F.col("v").alias("b")).distinct())
+    labelled = bucket.join(labels, "v")
+    mixed = stage(several(labelled).select("bucket", "n"), "mixed")
+    few = labelled.join(mixed.where(F.col("n") <= small).select("bucket"), "bucket")
+    lists = few.groupBy("bucket").agg(F.collect_list(F.struct("v", "label")).alias("members"))  # at most ``small`` of them
+    across = lists.select("members", F.explode("members").alias("p")).select("p", F.explode("members").alias("q"))
+    again = across.where("p.v < q.v and p.label <> q.label").select(F.col("p.v").alias("a"), F.col("q.v").alias("b"))
+    middle = mixed.where((F.col("n") > small) & (F.col("n") <= max(small, large)))
+    if not middle.isEmpty():
+        again = again.union(by_samples(middle))
+    run(again.distinct())
+    if not mixed.where(F.col("n") > max(small, large)).isEmpty():
+        still = several(bucket.join(labels, "v")).select("bucket", "n")
+        run(by_samples(still.where(F.col("n") > max(small, large))).distinct())
     empty = spark.createDataFrame([], "a long, b long, similarity double")
     return (empty if found is None else found), labels
 
