@@ -115,6 +115,38 @@ def test_secret_redaction(spark):
     assert secret_scans.redact(table(spark, [])).count() == 0
 
 
+def test_key_blocks(spark):
+    """Each owner's own key is live and its whole body goes; a key that three owners hold, and a header alone, stay."""
+    line = lambda seed, n: (hashlib.sha256(seed.encode()).hexdigest().upper() * 2)[:n]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = lambda s: f"\n{line(s, 64)}\n{line(s + 'x', 64)}\n{line(s + 'y', 22)}==\n"
+    rows = [(i, f"é secret='{head}{body(str(i))}{end}' after", "en", f"o{i}") for i in range(3)]
+    rows += [(10 + i, f"x {head}{body('shared')}{end} y", "en", f"o{i}") for i in range(3)]
+    rows += [
+        (20, f"{head}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB\n\n{line('a', 64)}\n{line('b', 20)}\nthe end", "en", "o1"),
+        (21, f"say {head} and go on\nwith text", "en", "o1"),
+        (22, f"{head}{body('22')}", "en", "o2"),
+        (23, f"{head}\\n{line('c', 64)}\\n{line('d', 9)}\\n{end} {head}\n{line('e', 64)}", "en", "o2"),
+        (24, f"{head}\n" + f"{line('f', 64)}\n" * 20_000 + end, "en", "o2"),
+    ]
+    docs = table(spark, rows)
+    texts = {r[0]: r[1] for r in rows}
+    got = {r.doc_id: r for r in secret_scans.report(docs).collect()}
+    assert got[10].spans == f"pem:2:{len(texts[10]) - 2}"
+    assert all(("pem" in got[i].spans) and got[i].n_live >= 1 for i in range(3))
+    assert all((got[i].n_live, got[i].n_copied) == (0, 1) for i in (10, 11, 12, 21))
+    out = {r.doc_id: r.text for r in secret_scans.redact(docs).collect()}
+    assert all(out[i] == texts[i] for i in (10, 11, 12, 21))
+    for i in range(3):
+        assert out[i] == texts[i].replace(body(str(i)), "[REDACTED]")
+    assert out[20] == f"{head}[REDACTED]\nthe end"
+    assert out[22].strip() == f"{head}[REDACTED]"
+    assert out[23] == f"{head}[REDACTED]{end} {head}[REDACTED]"
+    assert out[24] == f"{head}[REDACTED]{end}"
+    again = secret_scans.report(table(spark, [(d, t, "en", "o1") for d, t in out.items() if d > 2 and d not in (10, 11, 12)])).collect()
+    assert all(r.n_live == 0 for r in again)
+
+
 def test_secrets_on_given_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     want = {r.doc_id: brute_base(r.text) for r in docs.collect()}

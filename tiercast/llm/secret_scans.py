@@ -19,6 +19,19 @@ from pyspark.sql import functions as F
 from tiercast.llm.tables import packed, text_of, unpacked
 from tiercast.plans.staging import stage
 
+REDACTED = "[REDACTED]"
+
+# A key block: the value is all up to its END line (no other line of dashes between). Without
+# one it is what goes on as header fields and base64 lines, the last of any length; a header
+# that nothing of this follows, or that redaction has been over, has an empty value.
+_BREAK = r"(?:\s|\\[nr])"
+_END = r"-----END [A-Z ]*PRIVATE KEY-----"
+_CLOSED = rf"(?!\[REDACTED\]{_END})[^-]*+(?:-{{1,4}}+[^-]++)*+(?={_END})"
+_OPEN = (
+    rf"(?:{_BREAK}*+[A-Za-z][A-Za-z-]*+:\x20[^\n\\-]*+(?:-{{1,4}}+[^\n\\-]++)*+)*+"
+    rf"(?:{_BREAK}++[A-Za-z0-9+/]{{16,}}+={{0,2}}+)++"
+    rf"(?:{_BREAK}++[A-Za-z0-9+/]{{1,15}}+={{0,2}}+(?=[\x20\t]*+(?:[\r\n\\\"']|$)))?+"
+)
 # Kinds in the order of the answer, pattern, the group that holds the value,
 # and the least length of that value. The first three are the base kinds; the rest are the
 # spans that this scan adds.
@@ -27,10 +40,9 @@ KINDS = (
     ("access", r"AKIA[A-Z0-9]+", 0, 16),
     ("hex", r"[0-9a-f]{32,}", 0, 32),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
-    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+    ("pem", rf"-----BEGIN [A-Z ]*PRIVATE KEY-----({_CLOSED}|{_OPEN}|)(?:{_END})?", 1, 0),
 )
 BASE = 3
-REDACTED = "[REDACTED]"
 
 COPIED_OWNERS = 3
 
@@ -96,8 +108,8 @@ def ownership(spans: DataFrame) -> DataFrame:
 
 
 def judged(spans: DataFrame, copied_owners: int = COPIED_OWNERS) -> DataFrame:
-    """Spans with ``owners, repos, live``; a value of ``copied_owners`` or more owners is an example."""
-    return spans.join(ownership(spans), "h").withColumn("live", F.col("owners") < copied_owners)
+    """Spans with ``owners, repos, live``; a value of ``copied_owners`` or more owners is an example, as is an empty one."""
+    return spans.join(ownership(spans), "h").withColumn("live", (F.col("owners") < copied_owners) & (F.col("h") != F.md5(F.lit(""))))
 
 
 def _joined(items: Column) -> Column:
@@ -140,7 +152,8 @@ def _blanked(text: Column, pattern: str, group: int) -> Column:
 
     def of_match(m: Column) -> Column:
         value = F.regexp_extract(m, pattern, group) if group else m
-        new = F.concat(F.substring(m, F.lit(1), F.char_length(m) - F.char_length(value)), F.lit(REDACTED))
+        end = F.regexp_extract(m, _END + r"\z", 0)  # of a key block; other values end their match
+        new = F.concat(F.substring(m, F.lit(1), F.char_length(m) - F.char_length(value) - F.char_length(end)), F.lit(REDACTED), end)
         return F.when(F.array_contains("_live", F.md5(value)), new).otherwise(m)
 
     matches = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), of_match)
@@ -158,7 +171,8 @@ def redact(docs: DataFrame, owner: str = "source", repository: list[str] = ("sou
     live = spans.where("live").groupBy("doc_id").agg(F.collect_set("h").alias("_live")).withColumnRenamed("doc_id", "_id")
     live = stage(live, "live")  # its size on disk lets Spark choose whether texts must move
     text = F.col("_t")
-    for _, pattern, group, _ in KINDS:
+    # Key blocks go first: what others blank inside or at the edge of one would hide it.
+    for _, pattern, group, _ in sorted(KINDS, key=lambda k: k[0] != "pem"):
         text = _blanked(text, pattern, group)
     rows = packed(docs, _t=F.col("text")).join(live, F.col("_row.doc_id").eqNullSafe(F.col("_id")), "left")
     new = F.when(F.col("_live").isNull(), F.col("_t")).otherwise(text)
