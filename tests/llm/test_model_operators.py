@@ -250,6 +250,14 @@ def test_near_awkward_rows(spark):
     assert near_dedup.classes(empty(spark)).count() == 0
 
 
+def test_near_columns_do_not_depend_on_the_plan(spark):
+    """How many links get verified depends on partitions, so no column counts them."""
+    docs = documents(spark)
+    few, many = (Counter(map(tuple, near_dedup.classes(docs.repartition(n)).collect())) for n in (1, 7))
+    assert few == many
+    assert near_dedup.classes(empty(spark)).columns == ["doc_id", "class_id", "class_size", "kept"]
+
+
 # --- quality classifier
 
 

@@ -368,12 +368,11 @@ def links(
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """A row per document: ``doc_id, class_id, class_size, n_links, kept``.
+    """A row per document: ``doc_id, class_id, class_size, kept``.
 
-    ``class_id`` is the least document id of the class, and that document stays. ``n_links``
-    counts the verified links of the document's text to others. A null or empty text, or one of
-    white space only, has no shingles and is a class of its own; null ids come last and are kept
-    as null. Rows that repeat an id and a text are marked alike; other columns are ignored; an
+    ``class_id`` is the least document id of the class, and that document stays. A null or empty
+    text, or one of white space only, has no shingles and is a class of its own; null ids come
+    last and are kept as null. Rows that repeat an id and a text are marked alike; other columns are ignored; an
     empty table gives an empty result.
     """
     cells, texts = frequencies(docs)
@@ -382,12 +381,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("id"))
     alike = rows.where("key is not null").groupBy("key").agg(F.min(order).alias("best"), F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.count(F.lit(1)).alias("n"))
     vertices = stage(alike.select(F.monotonically_increasing_id().alias("v"), "key", F.col("best.id").alias("rep"), "bands", "marks", "n"), "vertices")
-    found, labels = links(docs, vertices, docs.sparkSession.sparkContext.broadcast(weigh), similarity)
-    degree = found.select(F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n_links"))
-    named = vertices.select("v", "key", "rep", "n").join(labels, "v").join(degree, "v", "left")
+    _, labels = links(docs, vertices, docs.sparkSession.sparkContext.broadcast(weigh), similarity)
+    named = vertices.select("v", "key", "rep", "n").join(labels, "v")
     order = F.struct(F.col("rep").isNull().alias("z"), F.col("rep").alias("id"))
     tops = named.groupBy("label").agg(F.min(order).alias("top"), F.sum("n").alias("class_size"))
-    of_key = named.join(tops, "label").select("key", F.col("top.id").alias("class_id"), "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    of_key = named.join(tops, "label").select("key", F.col("top.id").alias("class_id"), "class_size")
     wordless = F.col("key").isNull()
     joined = rows.select("doc_id", "key").join(of_key, "key", "left")
     class_id = F.when(wordless, F.col("doc_id")).otherwise(F.col("class_id"))
@@ -395,7 +393,6 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         "doc_id",
         class_id.alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.col("doc_id").eqNullSafe(class_id).alias("kept"),
     )
 
