@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiercast.llm import ann, exact_dedup, line_dedup, lm_scoring, near_dedup, packing, quality, secret_scans, sentencepiece_codec, suffix_dedup
+from tiercast.llm import ann, answers, centroids, conversations, embedding_dedup, exact_dedup, line_dedup, lm_scoring, near_dedup, packing, quality, secret_scans, sentencepiece_codec, suffix_dedup
 from tiercast.llm.tables import read
 
 
@@ -59,6 +59,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(read(spark, sf_dir, "documents"))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.classes(read(spark, sf_dir, "embeddings"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(read(spark, sf_dir, "conversations"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_lm_scoring": op2_lm_scoring,
@@ -70,6 +82,9 @@ QUERIES = {
     "op8_nearest": op8_nearest,
     "op9_secret_scans": op9_secret_scans,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_conversations": op12_conversations,
+    "op13_centroids": op13_centroids,
 }
 
 ORACLES = {
@@ -131,4 +146,7 @@ SELECT doc_id, first(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm
        doc_id = first(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY norm ORDER BY points DESC, doc_id)
 """,
+    "op11_embedding_dedup": answers.VECTOR_DEDUP,
+    "op12_conversations": answers.CONVERSATIONS,
+    "op13_centroids": answers.CENTROIDS,
 }
