@@ -70,8 +70,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
 
 
-def vertices(rows: DataFrame, cosine: float) -> DataFrame:
-    """Staged: ``v, key, rep, n, dim, x, codes`` of distinct vectors, of ``vec_id, x``."""
+def vertices(rows: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
+    """Distinct vectors of ``vec_id, x``, both staged: ``v, key, id, n``, and ``v, n, dim, x, codes``."""
     ship(rows.sparkSession)
     order = F.struct(F.col("vec_id").isNull().alias("z"), F.col("vec_id").alias("id"))
     alike = rows.groupBy("x").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("n"))
@@ -88,16 +88,16 @@ def vertices(rows: DataFrame, cosine: float) -> DataFrame:
                 found = hashes(scaled(_matrix(batch.column("x").take(pa.array(mine)))), bits, tables)
                 for k, code in zip(mine.tolist(), found):
                     codes[k] = code
-            yield pa.RecordBatch.from_arrays([batch.column("v"), pa.array(codes, pa.list_(pa.int64()))], names=["v", "codes"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.list_(pa.int64()))], names=[*batch.schema.names, "codes"])
 
-    coded = stage(alike.select("v", "dim", "x").mapInArrow(in_task, "v bigint, codes array<bigint>"), "codes")
-    return alike, coded
+    kind = alike.schema["x"].dataType.simpleString()
+    coded = alike.select("v", "n", "dim", "x").mapInArrow(in_task, f"v bigint, n bigint, dim int, x {kind}, codes array<bigint>")
+    return alike.select("v", "key", "id", "n"), stage(coded, "codes")
 
 
-def meetings(alike: DataFrame, coded: DataFrame, block: int = BLOCK) -> DataFrame:
+def meetings(coded: DataFrame, block: int = BLOCK) -> DataFrame:
     """Staged: who comes to which meeting, ``t, bucket, one, two, block, v``; vertices without a mate in any bucket do not occur."""
-    dims = alike.select("v", "dim")
-    each = coded.join(dims, "v").select("v", "dim", F.posexplode("codes").alias("t", "code"))
+    each = coded.select("v", "dim", F.posexplode("codes").alias("t", "code"))
     keyed = each.select("v", "t", F.xxhash64("dim", "t", "code").alias("bucket"))
     busy = stage(keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "busy")
     blocks = F.ceil(F.col("n") / block)
@@ -158,12 +158,11 @@ def pairs_of(group: np.ndarray, side: np.ndarray, x: np.ndarray, cosine: float,
             yield p[sure], q[sure]
 
 
-def compared(alike: DataFrame, coded: DataFrame, met: DataFrame, cosine: float, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def compared(coded: DataFrame, met: DataFrame, cosine: float, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Staged: ``v, other, links``: counts of links (``other`` null), and links that span what was found (``links`` 0)."""
     chunks = max(1, -(-met.count() // chunk_rows))
     chunk = F.pmod(F.xxhash64("bucket", "one", "two"), F.lit(chunks))
-    whole = alike.join(coded, "v").select("v", "n", "dim", "x", "codes")
-    rows = met.join(whole, "v").select(chunk.alias("chunk"), "dim", "t", "bucket", "one", "two", "block", "v", "n", "x", "codes")
+    rows = met.join(coded, "v").select(chunk.alias("chunk"), "dim", "t", "bucket", "one", "two", "block", "v", "n", "x", "codes")
 
     def in_task(key, table):
         out_v, out_other, out_links = [], [], []
@@ -247,7 +246,7 @@ def classes(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> D
     plain = F.transform(F.col("embedding"), lambda c: c + F.lit(0).cast("float"))  # no negative zeros; a float stays one
     rows = vectors.select("vec_id", F.when(usable(F.col("embedding")), plain).alias("x"))
     alike, coded = vertices(rows.where("x is not null"), cosine)
-    found = compared(alike, coded, meetings(alike, coded, block), cosine)
+    found = compared(coded, meetings(coded, block), cosine)
     links = found.where("other is null").groupBy("v").agg(F.sum("links").alias("links"))
     roots = components(found.where("other is not null").select(F.col("v").alias("a"), F.col("other").alias("b")))
     named = stage(alike.select("v", "key", "id", "n").join(links, "v", "left").join(roots, "v", "left").withColumn("root", F.coalesce("root", "v")), "named")
