@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import standins as S
 from tiercast.functions.numbers import cell_amount, clean_cell, is_number_cell
 from tiercast.operators import html as H
-from tiercast.operators.landed import resolve
+from tiercast.operators.landed import dealt, resolve
 from tiercast.operators.statement import statements
 from tiercast.plans.tier2 import scrape
 
@@ -276,7 +276,8 @@ FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hrefs
 
 
 def page_text(spark, sf):
-    return H.plain_text(H.parse(S.table(spark, sf, "pages"), "page_id"), "page_id")
+    pages = dealt(S.table(spark, sf, "pages").select("page_id", "html"), "page_id")
+    return H.plain_text(H.parse(pages, "page_id"), "page_id")
 
 
 PAGE_TEXT_CTE = r"""

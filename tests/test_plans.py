@@ -1,10 +1,13 @@
 """Shapes that plans must keep."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import standins as S
 from checks.registry import QUERIES
 from tiercast.operators import html as H
+from tiercast.operators.landed import dealt
+from tiercast.plans.tier2 import scrape
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,3 +36,26 @@ def test_html_takes_one_exchange_and_reads_each_document_once(spark):
 
 def test_chunks_move_nothing(spark):
     assert "Exchange" not in plan_of(QUERIES["text_chunks"](spark, SF))
+
+
+def test_documents_are_dealt_by_bytes(spark):
+    """One file split becomes tasks of about the same markup, and the parser's windows move nothing more."""
+    rows = [(f"u{k}", "<p>x</p>" * (1 + k % 40)) for k in range(4000)]
+    docs = spark.createDataFrame(rows, "url string, html string").coalesce(1)
+    total = sum(len(h) for _, h in rows)
+    many = dealt(docs, task_bytes=total // 20)
+    loads = sorted(r.n for r in many.groupBy(F.spark_partition_id()).agg(F.sum(F.length("html")).alias("n")).collect())
+    assert 18 <= len(loads) <= 22 and sum(loads) == total
+    assert loads[-1] <= 3 * loads[len(loads) // 2]
+    plan = plan_of(H.parse(many, "url"))
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+    assert dealt(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_only_unbucketed_documents_are_dealt(spark, bucketed):
+    docs = spark.createDataFrame([("a", "<p>x</p>", 200), ("b", None, 200)], "url string, html string, status int")
+    asked = spark.createDataFrame([("a", "m", 2014), ("b", "m", 2014), ("c", "m", 2014)], "url string, metric_name string, year int")
+    done = scrape(asked, docs, F.lit(True), F.col("url"), F.col("year"), unique=True, bucketed=bucketed)
+    assert ("REPARTITION_BY_NUM" in plan_of(done)) != bucketed
+    assert sorted((r.url, r.t2.status) for r in done.collect()) == [("a", "NO_TABLES"), ("b", "DOWNLOAD_FAILED"), ("c", "DOWNLOAD_FAILED")]
