@@ -59,12 +59,32 @@ FROM (SELECT o_custkey AS cik, year(o_orderdate) + 15 AS yr,
   FROM orders GROUP BY o_custkey, year(o_orderdate)) AS f
 """
 
+# Companies and years to review.  Some rows lack the company, the year or the name.
+REVIEW_YEARS = "(VALUES (2009), (2010), (2012), (2014), (2016), (2018)) AS t(y)"
+REVIEW_ROWS = f"""
+SELECT CASE WHEN c_custkey % 23 = 5 THEN NULL ELSE c_custkey END AS entitycentralindexkey,
+  CASE WHEN (c_custkey + y) % 29 = 0 THEN NULL ELSE y END AS documentfiscalyearfocus,
+  CASE WHEN c_custkey % 4 <> 0 THEN concat('Company ', CAST(c_custkey AS VARCHAR(20))) END AS entityregistrantname,
+  c_custkey * 10000 + y AS src_pos
+FROM customer CROSS JOIN {REVIEW_YEARS}
+"""
+
+# What the first tier knows of them: every fifth company.
+REVIEW_FACTS = f"""
+SELECT c_custkey AS entitycentralindexkey, y AS documentfiscalyearfocus, concat(CAST(y AS VARCHAR(4)), '-01-01') AS start_date,
+  concat(CAST(y AS VARCHAR(4)), '-12-31') AS end_date, c_custkey * CAST(1.5 AS DOUBLE) AS SalesRevenueNet,
+  c_custkey * CAST(1.5 AS DOUBLE) AS NetIncomeLoss, c_custkey * CAST(1.5 AS DOUBLE) AS ResearchAndDevelopmentExpense, c_custkey * 10000 + y AS src_pos
+FROM customer CROSS JOIN {REVIEW_YEARS} WHERE c_custkey % 5 = 0
+"""
+
 SQL_INPUTS = {
     "entities": ENTITIES,
     "ciks": CIKS,
     "filings": FILINGS,
     "wide_facts": WIDE_FACTS,
     "year_figures": YEAR_FIGURES,
+    "review_rows": REVIEW_ROWS,
+    "review_facts": REVIEW_FACTS,
 }
 
 TABLES = (
@@ -240,6 +260,21 @@ def statement_requests(spark: SparkSession, sf: str) -> DataFrame:
     return asked.withColumn("url", asked_url(F.col("cik")))
 
 
+def review_filings(spark: SparkSession, sf: str) -> DataFrame:
+    """Filing index over the rendered statements; every third company is not in it."""
+    rows = given(spark, sf, "review_rows").select(F.floor(F.col("src_pos") / 10000).alias("cik"), (F.col("src_pos") % 10000).alias("y"), "src_pos")
+    year = F.col("y").cast("string")
+    return rows.filter("cik % 3 <> 1").select(
+        "cik",
+        F.lit("10-K").alias("formType"),
+        F.concat(year, F.lit("-12-31")).alias("periodOfReport"),
+        F.concat(year, F.lit("-12-31T16:05:14")).alias("filedAt"),
+        F.concat_ws("-", F.col("cik"), year).alias("accessionNo"),
+        asked_url(F.col("cik")).alias("linkToHtml"),
+        "src_pos",
+    )
+
+
 # --- feeds and answers -------------------------------------------------------------
 
 
