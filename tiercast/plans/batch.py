@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tiercast.operators.results import loop_order, render
 from tiercast.plans import cascade, tier1
+from tiercast.plans.collections import Collections
 from tiercast.plans.handoff import Handoff, digest_of, digest_of_files, digest_of_rows
 from tiercast.plans.staging import scratch
 from tiercast.plans.tier3 import Hook
@@ -40,12 +41,13 @@ def run(
     policy: cascade.Policy = cascade.BATCH,
     unique: bool = False,
     hooks: str = "",
+    kept: Collections | None = None,
 ) -> Handoff:
     """Take requests from files through all tiers; stages ``tier1``, ``tier2`` and ``tier3`` lie in ``folder``.
 
     A rerun builds only stages whose inputs changed, or that an earlier run did not finish.  ``hooks`` names
     the version of the two hooks, whose code no digest can see.  With ``results`` the record is written
-    there as CSV in loop order.
+    there as CSV in loop order; with ``kept`` vectors last from one batch to the next.
     """
     years = list(years)
     handed = Handoff(spark, folder)
@@ -69,7 +71,7 @@ def run(
     tier_2 = handed.table("tier2", second, lambda: cascade.statements(tier_1, submissions, docs, policy, unique))
 
     third = digest_of("tier3", second, feeds, hooks)
-    tier_3 = handed.table("tier3", third, lambda: cascade.passages(tier_2, submissions, docs, embed, answer, policy, unique).select(*tier_1.columns))
+    tier_3 = handed.table("tier3", third, lambda: cascade.passages(tier_2, submissions, docs, embed, answer, policy, unique, kept=kept).select(*tier_1.columns))
     if results:
         with scratch(spark):
             write_ordered_csv(render(tier_3), results, *loop_order(metrics))
