@@ -171,6 +171,7 @@ ANSWER_KEYS = (
     "calculated_total_dollars",
     "metric_found",
 )
+ANSWER_SCALES = ("thousands", "millions", "exact")
 
 # --- addresses ---------------------------------------------------------------
 FILING_HOST = "https://www.sec.gov"
