@@ -208,38 +208,60 @@ def test_one_large_group(spark):
     assert got == brute_classes(rows)
 
 
-@pytest.mark.parametrize("small, large", [(2, 2), (2, 1000)])
-def test_divided_buckets(spark, monkeypatch, small, large):
-    """Few buckets are small enough to be looked at pair by pair: larger ones are divided, or compared by samples."""
-    rng = random.Random(4)
+def passages_with_pairs(seed):
+    """Texts just under the similarity that share a passage, and one near copy of each."""
+    rng = random.Random(seed)
     passage = [rng.choice("abcdefgh") * 3 + str(rng.randrange(900)) for _ in range(200)]
     rows = []
     for i in range(40):
         own = [f"w{i}x{k}" for k in range(60)]
         rows += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + own[:-1] + ["other"]))]
+    return rows
+
+
+@pytest.mark.parametrize("shingles, members", [(600, 256), (1 << 16, 3), (1 << 16, 256)])
+def test_divided_buckets(spark, monkeypatch, shingles, members):
+    """Buckets of one block, or of many that meet in pairs."""
+    rows = passages_with_pairs(4)
     docs = table(spark, rows)
-    monkeypatch.setattr(near_dedup.links, "__defaults__", (small, large))
+    monkeypatch.setattr(near_dedup.links, "__defaults__", (shingles, members))
     assert found_classes(near_dedup.classes(docs)) == brute_classes(rows)
 
 
-@pytest.mark.parametrize("block", [16, 1024])
-def test_pairs_of_one_band(spark, monkeypatch, block):
-    """In buckets that are all too large, links are found although their ends share no further band."""
-    monkeypatch.setattr(near_dedup, "BLOCK", block)
-    rng = random.Random(5)
-    passage = [rng.choice("abcdefgh") * 3 + str(rng.randrange(900)) for _ in range(200)]
-    rows = []
-    for i in range(40):
-        own = [f"w{i}x{k}" for k in range(60)]
-        rows += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + own[:-1] + ["other"]))]
+@pytest.mark.parametrize("members", [8, 1024])
+def test_pairs_of_one_band(spark, members):
+    """Links are found although their ends share one band only, and that with all others."""
+    rows = passages_with_pairs(5)
     docs = table(spark, rows)
     weigh = near_dedup.Weights(*near_dedup.frequencies(docs))
-    one_band = F.expr("transform(bands, (x, i) -> if(i = 0, 0L, doc_id * 100 + i))")
-    vertices = near_dedup.signatures(docs, weigh).select(F.col("doc_id").alias("v"), "key", F.col("doc_id").alias("rep"), one_band.alias("bands"), "marks")
-    _, labels = near_dedup.links(docs, vertices, spark.sparkContext.broadcast(weigh), near_dedup.SIMILARITY, small=2, large=2)
+    one_band = F.expr("transform(bands, (x, i) -> if(i = 0, 0L, v * 100 + i))")
+    vertices = near_dedup.vertices_of(near_dedup.signatures(docs, weigh)).withColumn("v", F.col("rep")).withColumn("bands", one_band)
+    labels = near_dedup.links(docs, vertices, spark.sparkContext.broadcast(weigh), near_dedup.SIMILARITY, block_members=members)
     assert {r.v: r.label for r in labels.collect()} == {i: i - i % 2 for i in range(80)}
 
 
+def test_meetings_leave_no_row_per_pair(spark):
+    """A group of which all pairs are links leaves as many links as it has members, less one."""
+    rng = random.Random(6)
+    base = [f"w{k}" for k in range(300)]
+    rows = [(i, " ".join(mutated(rng, base, 0.004))) for i in range(120)]
+    docs = table(spark, rows)
+    weigh = near_dedup.Weights(*near_dedup.frequencies(docs))
+    vertices = near_dedup.vertices_of(near_dedup.signatures(docs, weigh))
+    shingles = near_dedup.shingled(docs, vertices, spark.sparkContext.broadcast(weigh))
+    sent = vertices.select(F.lit(0).cast("long").alias("bucket"), F.lit(0).alias("one"), F.lit(0).alias("two"), F.lit(-1).alias("side"), "v", F.col("v").alias("label"), "size")
+    n = vertices.count()
+    assert near_dedup.met(sent, shingles, 0.5).count() == n - 1 > 60
+
+
+def test_near_rows_with_many_equal_ids(spark):
+    """Rows without an id, or with one id, are led to their own text."""
+    rows = passages_with_pairs(7)
+    docs = table(spark, [(None, t) for _, t in rows] + [(7, t) for _, t in rows[:20]] + [(None, rows[0][1])] * 50)
+    got = Counter((r.doc_id, r.class_id, r.class_size, r.kept) for r in near_dedup.classes(docs).collect())
+    assert got == {(7, 7, 4, True): 18, (None, 7, 4, False): 18, (7, 7, 54, True): 2, (None, 7, 54, False): 52, (None, None, 2, True): 60}
+
+
 def test_near_awkward_rows(spark):
     docs = clashing(awkward(spark))
     got = Counter((r.doc_id, r.class_id, r.class_size) for r in near_dedup.classes(docs).collect())

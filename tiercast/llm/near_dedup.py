@@ -13,14 +13,15 @@ are what such links connect.
    with their weighted Jaccard similarity as probability); four samples make a band key. At
    similarity 0.8 a pair shares one of the 14 bands with probability 0.9994, at 0.85 0.99997.
    Texts with the same weighted shingles become one vertex, by a 128-bit key.
-3. In each bucket of equal band keys every vertex is paired with the bucket's least vertex: a
-   group of any size gives one pair per member and band. Pairs are verified on whole texts.
-4. Links are joined to classes. Buckets that still hold several classes are looked at again:
-   up to ``SMALL`` vertices, pairs across classes are verified. In larger ones the samples of
-   members are compared, block against block, and only pairs across classes that agree in at
-   least 34 of 56 samples are verified (a pair at similarity 0.8 falls short with probability
-   0.0003). Buckets of more than ``LARGE`` vertices are compared in the same way, but last, when
-   the links of all others have joined classes. No bucket is too large to be compared whole.
+3. In each bucket of equal band keys every vertex meets the bucket's least vertex: a group of any
+   size gives one pair per member. Links join vertices to classes.
+4. Buckets that still hold several classes are compared whole, every pair across classes. Members of a
+   bucket are cut into blocks by the size of their texts, and blocks meet in pairs, so that no task holds
+   more than two blocks of a bucket.
+
+Similarities are computed where vertices meet: a vertex brings its weighted shingles, made once from
+its whole text, and what leaves a meeting is at most one link per class that it joins to another. So no
+row is made for a pair, and one rule holds for buckets of every size.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiercast.llm import words as W
-from tiercast.llm.tables import packed, ship, text_of, unpacked
+from tiercast.llm.tables import packed, ship, stage_by, text_of, unpacked, wide_hash
 from tiercast.plans.staging import stage
 
 SHINGLE = 5
@@ -41,10 +42,11 @@ SIMILARITY = 0.8
 BANDS, ROWS = 14, 4
 SKETCH = 1 << 20
 PART = 1 << 15  # counters that travel together
-SMALL = 64
-LARGE = 16_384
-BLOCK = 1024
-AGREE = 34
+# A block of a bucket has about so many shingles, and members, at most.
+BLOCK_SHINGLES = 1 << 16
+BLOCK_MEMBERS = 256
+CHUNK_SHINGLES = 1 << 18  # shingles of the meetings that one call compares, on average
+SALTS = 64
 _RARE = math.log(1000)
 
 
@@ -90,7 +92,10 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([W.squeeze(v) for v in sums.values()], pa.binary())], names=["part", "data"])
 
     schema = "part int, data binary"
-    got = docs.select(F.col("text").cast("string")).mapInArrow(count, schema).repartition("part").mapInArrow(add, schema)
+    counts = docs.select(F.col("text").cast("string")).mapInArrow(count, schema)
+    # In two levels, so that a task adds up the sketches of a share of the input tasks only.
+    some = counts.withColumn("salt", F.spark_partition_id() % SALTS).repartition("part", "salt").select("part", "data").mapInArrow(add, schema)
+    got = some.repartition("part").mapInArrow(add, schema)
     cells, texts = np.zeros(2 * SKETCH, np.int64), 0
     for row in got.collect():  # a fixed number of counters
         values = W.unsqueeze(bytes(row.data), np.int64)[0]
@@ -187,7 +192,10 @@ def keys_of(hashes: np.ndarray, tf: np.ndarray, bounds: np.ndarray) -> list[byte
 
 
 def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
-    """Staged: ``doc_id, key, bands, marks`` (all null for a text without words); marks are 16 bits of each sample."""
+    """Staged: ``doc_id, at, key, bands, size``; key and bands are null for a text without words.
+
+    ``at`` is a 128-bit hash of the text, ``size`` the number of its different shingles.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # a fixed number of counters
 
     def in_task(batches):
@@ -197,7 +205,6 @@ def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
             bounds = W.segments(whose, n)
             some = np.flatnonzero(np.diff(bounds))
             bands: list[np.ndarray | None] = [None] * n
-            marks: list[bytes | None] = [None] * n
             if len(some):
                 drawn = samples(hashes, weigh(hashes, tf), np.append(bounds[:-1][some], bounds[-1]))
                 key = np.zeros((len(some), BANDS), W.U64)
@@ -206,61 +213,122 @@ def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
                 key = W.mix(key + np.arange(BANDS, dtype=W.U64))
                 for k, values in zip(some.tolist(), key.view(np.int64)):
                     bands[k] = values
-                for k, values in zip(some.tolist(), (drawn >> W.U64(48)).astype(np.uint16)):
-                    marks[k] = values.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     table.column("doc_id").combine_chunks(),
+                    table.column("at").combine_chunks(),
                     pa.array(keys_of(hashes, tf, bounds), pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
-                    pa.array(marks, pa.binary()),
+                    pa.array(np.diff(bounds).astype(np.int64)),
                 ],
-                names=["doc_id", "key", "bands", "marks"],
+                names=["doc_id", "at", "key", "bands", "size"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return stage(rows.mapInArrow(in_task, "doc_id long, key binary, bands array<long>, marks binary"), "signatures")
-
-
-def similarities(a: pa.ChunkedArray, b: pa.ChunkedArray, weigh: Weights) -> tuple[np.ndarray, list, list]:
-    """Weighted Jaccard similarity of texts pair by pair, and the keys of both sides."""
-    sides = []
-    for texts in (a, b):
-        hashes, whose, tf, n = counted(texts)
-        sides.append((hashes, whose, weigh(hashes, tf), keys_of(hashes, tf, W.segments(whose, n))))
-    pair = np.concatenate([sides[0][1], sides[1][1]])
-    keys = W.mix(np.concatenate([sides[0][0], sides[1][0]]) ^ W.mix(pair.astype(W.U64) + W.U64(1)))
-    _, first, back = np.unique(keys, return_index=True, return_inverse=True)
-    left = np.bincount(back[: len(sides[0][0])], weights=sides[0][2], minlength=len(first))
-    right = np.bincount(back[len(sides[0][0]) :], weights=sides[1][2], minlength=len(first))
-    n = len(a)
-    both = np.bincount(pair[first], weights=np.minimum(left, right), minlength=n)
-    either = np.bincount(pair[first], weights=np.maximum(left, right), minlength=n)
-    return both / np.maximum(either, 1e-30), sides[0][3], sides[1][3]
-
-
-def verified(docs: DataFrame, vertices: DataFrame, pairs: DataFrame, weights, similarity: float) -> DataFrame:
-    """Those of the pairs ``a, b`` of vertices whose whole texts are similar enough; staged, with their similarity."""
-    ends = vertices.select("v", "rep", "key")
-    named = pairs.join(ends.select(F.col("v").alias("a"), F.col("rep").alias("rep_a"), F.col("key").alias("key_a")), "a").join(
-        ends.select(F.col("v").alias("b"), F.col("rep").alias("rep_b"), F.col("key").alias("key_b")), "b"
-    )
-    named = stage(named, "pairs")  # its size on disk lets Spark choose how to bring the texts
-    texts = docs.select(F.col("doc_id").cast("long").alias("d"), text_of().alias("t"))
-    right = named.join(texts.withColumnRenamed("t", "text_b"), F.col("rep_b").eqNullSafe(F.col("d"))).drop("d")
-    full = right.join(texts.withColumnRenamed("t", "text"), F.col("rep_a").eqNullSafe(F.col("d"))).select("a", "b", "key_a", "key_b", "text", "text_b")
+    rows = docs.select(F.col("doc_id").cast("long"), text_hash().alias("at"), F.col("text").cast("string"))
+    return stage(rows.mapInArrow(in_task, "doc_id long, at struct<a:long,b:long>, key binary, bands array<long>, size long"), "signatures")
+
+
+def text_hash():
+    return wide_hash(text_of())
+
+
+def vertices_of(rows: DataFrame) -> DataFrame:
+    """Staged: ``v, key, rep, at, bands, size, n`` of texts with the same weighted shingles, of signatures.
+
+    ``rep`` and ``at`` lead to the text that speaks for the vertex: that of the least id, whatever ids are
+    null or repeated.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("id"), F.col("at"))
+    alike = rows.where("key is not null").groupBy("key").agg(F.min(order).alias("best"), F.first("bands").alias("bands"), F.first("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    return stage(alike.select(F.monotonically_increasing_id().alias("v"), "key", F.col("best.id").alias("rep"), "best.at", "bands", "size", "n"), "vertices")
+
+
+def shingled(docs: DataFrame, vertices: DataFrame, weights) -> DataFrame:
+    """Staged by ``v``: ``v, hashes, weights`` with the weighted shingles of each vertex's whole text."""
+    wanted = stage(vertices.select("v", "rep", "at"), "wanted")  # its size on disk lets Spark choose whether texts must move
+    texts = docs.select(F.col("doc_id").cast("long").alias("d"), text_hash().alias("h"), text_of().alias("text"))
+    named = texts.join(wanted, F.col("rep").eqNullSafe(F.col("d")) & (F.col("at") == F.col("h"))).select("v", "text")
 
     def in_task(batches):
         weigh = weights.value
-        for table in W.blocks(batches, size=W.BLOCK_BYTES // 2):
-            value, left, right = similarities(table.column("text"), table.column("text_b"), weigh)
-            # Rows that share an id but not the text may have come along.
-            mine = [x == bytes(p or b"") and y == bytes(q or b"") for x, y, p, q in zip(left, right, table.column("key_a").to_pylist(), table.column("key_b").to_pylist())]
-            good = pa.array(np.asarray(mine, bool) & (value >= similarity))
-            kept = table.select(["a", "b"]).append_column("similarity", pa.array(value)).filter(good)
-            yield from kept.to_batches()
+        for table in W.blocks(batches):
+            hashes, whose, tf, n = counted(table.column("text"))
+            weighed, bounds = weigh(hashes, tf), W.segments(whose, n)
+            cut = lambda values: pa.array([values[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([table.column("v").combine_chunks(), cut(hashes), cut(weighed)], names=["v", "hashes", "weights"])
+
+    # Rows that repeat an id and a text give a vertex several times.
+    return stage_by(named.mapInArrow(in_task, "v long, hashes binary, weights binary").dropDuplicates(["v"]), "v", "shingled")
+
+
+class Members:
+    """The vertices of one meeting, with their shingles side by side."""
+
+    def __init__(self, v: np.ndarray, label: np.ndarray, hashes: list[np.ndarray], weights: list[np.ndarray]):
+        self.v, self.label, self.hashes, self.weights = v, label, hashes, weights
+        self.total = np.array([w.sum(dtype=np.float64) for w in weights])
+
+    def links(self, left: np.ndarray, right: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+        """Links of ``left`` with ``right`` (row numbers) that each join two classes; labels follow."""
+        found, label = [], self.label
+        shingles, at = np.unique(np.concatenate([self.hashes[j] for j in right]), return_inverse=True)
+        held = np.zeros((len(shingles), len(right)), np.float32)
+        held[at, np.repeat(np.arange(len(right)), [len(self.hashes[j]) for j in right])] = np.concatenate([self.weights[j] for j in right])
+        total = self.total[right]
+        for i in left:
+            # Different class, and light and heavy enough to reach the similarity at all.
+            other = np.flatnonzero((label[right] != label[i]) & (np.minimum(total, self.total[i]) >= similarity * np.maximum(total, self.total[i])))
+            if not len(other):
+                continue
+            place = np.searchsorted(shingles, self.hashes[i])
+            known = place < len(shingles)
+            known[known] = shingles[place[known]] == self.hashes[i][known]
+            rows = held[place[known]] if len(other) == len(right) else held[np.ix_(place[known], other)]
+            # Weights are 32-bit numbers, so sums of them in 64 bits are exact.
+            both = np.minimum(rows, self.weights[i][known][:, None]).sum(axis=0, dtype=np.float64)
+            for j in other[both >= similarity * (total[other] + self.total[i] - both)]:
+                j = right[j]
+                if label[j] != label[i]:
+                    found.append((i, j))
+                    label[label == label[j]] = label[i]
+        return found
+
+
+def met(sent: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
+    """``a, b`` with the labels of vertices that meetings link, of ``bucket, one, two, side, v, label, size``.
+
+    Rows of equal ``bucket, one, two`` meet: side 0 with side 1, or all of side -1 with each other. At most
+    one link per class leaves a meeting.
+    """
+    total = sent.agg(F.sum("size")).first()[0] or 0
+    chunk = F.pmod(F.xxhash64("bucket", "one", "two"), F.lit(max(1, -(-total // CHUNK_SHINGLES)))).alias("chunk")
+
+    def in_task(key, table):
+        columns = {c: table.column(c).to_numpy() for c in ("bucket", "one", "two", "side", "v", "label")}
+        order = np.lexsort([columns[c] for c in ("v", "side", "two", "one", "bucket")])
+        columns = {c: x[order] for c, x in columns.items()}
+        hashes, weights = (table.column(c).to_pylist() for c in ("hashes", "weights"))
+        change = np.zeros(len(order), bool)
+        for c in ("bucket", "one", "two"):
+            change[1:] |= columns[c][1:] != columns[c][:-1]
+        edges = [0, *np.flatnonzero(change).tolist(), len(order)] if len(order) else []
+        out = []
+        for first, last in zip(edges, edges[1:]):
+            rows = np.arange(first, last)
+            side, label = columns["side"][rows], columns["label"][rows]
+            if len(rows) < 2 or (label == label[0]).all():
+                continue
+            mine = Members(columns["v"][rows], label.copy(), [np.frombuffer(hashes[order[r]], W.U64) for r in rows], [np.frombuffer(weights[order[r]], np.float32) for r in rows])
+            every = np.arange(len(rows))
+            own = side[0] < 0
+            left, right = (every, every) if own else (every[side == 0], every[side == 1])
+            if len(left) and len(right):
+                out += [(label[i], label[j]) for i, j in mine.links(left, right, similarity)]
+        a, b = np.array(out, np.int64).reshape(-1, 2).T
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
-    return stage(full.mapInArrow(in_task, "a long, b long, similarity double").dropDuplicates(["a", "b"]), "links")
+    joined = sent.join(shingles, "v").select(chunk, "bucket", "one", "two", "side", "v", "label", "hashes", "weights")
+    return stage(joined.groupBy("chunk").applyInArrow(in_task, "a long, b long").distinct(), "links")
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -281,90 +349,44 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         labels = new.select("v", "label")
 
 
-def _alike(members: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` across classes whose samples agree often enough, of ``bucket, n, v, label, marks``.
-
-    Members of a bucket are packed into blocks, and blocks of one bucket meet in pairs: each is
-    sent to its meetings from where it lies, so that no task holds more than two of them.
-    """
-
-    def pack(key, table):
-        values = (
-            [key[0].as_py()],
-            [key[1].as_py()],
-            [table.column("blocks")[0].as_py()],
-            [table.column("v").to_numpy().astype(np.int64).tobytes()],
-            [table.column("label").to_numpy().astype(np.int64).tobytes()],
-            [b"".join(table.column("marks").to_pylist())],
-        )
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-        return pa.table({n: pa.array(v, t) for n, v, t in zip(("bucket", "block", "blocks", "v", "label", "marks"), values, kinds)})
-
-    def compare(key, table):
-        sides = [
-            (np.frombuffer(r["v"], np.int64), np.frombuffer(r["label"], np.int64), np.frombuffer(r["marks"], np.uint16).reshape(-1, BANDS * ROWS)) for r in table.to_pylist()
-        ]
-        same = key[1].as_py() == key[2].as_py()
-        out = [np.zeros((2, 0), np.int64)]
-        if same or len(sides) == 2:  # a block that got no member meets nobody
-            (v, x, m), (w, y, k) = sides[0], sides[-1]
-            for i in range(len(v)):
-                some = np.flatnonzero((y != x[i]) & (w > v[i])) if same else np.flatnonzero(y != x[i])
-                hits = w[some[np.count_nonzero(k[some] == m[i], axis=1) >= AGREE]]
-                if len(hits):
-                    out.append(np.stack([np.minimum(hits, v[i]), np.maximum(hits, v[i])]))
-        a, b = np.concatenate(out, axis=1)
-        return pa.table({"a": pa.array(a), "b": pa.array(b)})
-
-    blocks = F.ceil(F.col("n") / BLOCK)
-    block = F.pmod(F.xxhash64("v"), blocks).alias("block")
-    packs = members.select("bucket", block, blocks.alias("blocks"), "v", "label", "marks").groupBy("bucket", "block")
-    packs = stage(packs.applyInArrow(pack, "bucket long, block long, blocks long, v binary, label binary, marks binary"), "blocks")
-    sent = packs.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    met = sent.select("bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "v", "label", "marks")
-    return met.groupBy("bucket", "one", "two").applyInArrow(compare, "a long, b long")
-
-
-def links(
-    docs: DataFrame, vertices: DataFrame, weights, similarity: float, small: int = SMALL, large: int = LARGE
-) -> tuple[DataFrame, DataFrame]:
-    """All links found (``a, b, similarity``) and the classes (``v, label``) they make."""
-    spark = docs.sparkSession
-    bucket = vertices.select("v", F.posexplode("bands").alias("band", "bucket"))
-    own = vertices.select("v", F.col("v").alias("label"))
-    found = tested = None
-    labels = own
-    several = lambda df: df.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("v").alias("a"), F.count(F.lit(1)).alias("n")).where("x < y")
-    by_samples = lambda some: _alike(bucket.join(some, "bucket").join(labels, "v").join(vertices.select("v", "marks"), "v"))
-
-    def run(pairs: DataFrame) -> None:
-        nonlocal found, tested, labels
-        new = stage(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "candidates")
-        if new.isEmpty():
-            return
-        tested = new if tested is None else tested.union(new)
-        good = verified(docs, vertices, new, weights, similarity)
-        found = good if found is None else found.union(good)
-        classes = components(spark, found)
-        labels = stage(own.select("v").join(classes, "v", "left").select("v", F.coalesce("label", "v").alias("label")), "all-labels")
-
-    labelled = bucket.join(labels, "v")
-    run(labelled.join(several(labelled).select("bucket", "a"), "bucket").where("a < v").select("a", F.col("v").alias("b")).distinct())
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Staged: ``v, label`` after links ``a, b`` between labels."""
+    roots = components(labels.sparkSession, links).select(F.col("v").alias("label"), F.col("label").alias("root"))
+    return stage(labels.join(roots, "label", "left").select("v", F.coalesce("root", "label").alias("label")), "all-labels")
+
+
+def links(docs: DataFrame, vertices: DataFrame, weights, similarity: float, block_shingles: int = BLOCK_SHINGLES, block_members: int = BLOCK_MEMBERS) -> DataFrame:
+    """Classes of vertices, ``v, label``, by all links within buckets."""
+    bucket = stage(vertices.select("v", "size", F.explode("bands").alias("bucket")), "buckets")
+    labels = vertices.select("v", F.col("v").alias("label"))
+    several = lambda df: df.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("v").alias("hub"), F.sum("size").alias("sizes"), F.count(F.lit(1)).alias("members")).where("x < y")
+    block = lambda n: F.pmod(F.xxhash64("v"), n)
+
+    # Every vertex of a bucket with the least one: that one comes to all blocks of the vertices it is least for.
+    busy = stage(several(bucket.withColumn("label", F.col("v"))).select("bucket", "hub"), "busy")
+    if busy.isEmpty():
+        return labels
+    pairs = bucket.join(busy, "bucket").where("v <> hub").select("hub", "v", "size").distinct()
+    pairs = stage(pairs, "pairs")
+    shingles = shingled(docs, vertices.join(pairs.select("v").union(pairs.select("hub")).distinct(), "v", "left_semi"), weights)
+    groups = pairs.groupBy("hub").agg(F.greatest(F.ceil(F.sum("size") / block_shingles), F.ceil(F.count(F.lit(1)) / block_members)).alias("blocks"))
+    members = pairs.join(groups, "hub").select("hub", block(F.col("blocks")).alias("one"), "v", "size")
+    meeting = lambda df, side: df.select(F.col("hub").alias("bucket"), "one", F.lit(-1).cast("long").alias("two"), F.lit(side).alias("side"), "v", F.col("v").alias("label"), "size")
+    hubs = members.select("hub", "one").distinct().join(vertices.select(F.col("v").alias("hub"), "size"), "hub").withColumn("v", F.col("hub"))
+    sent = meeting(members, 1).unionByName(meeting(hubs, 0))
+    labels = joined(labels, met(stage(sent, "meetings"), shingles, similarity))
+
+    # Buckets that still hold several classes, whole.
     labelled = bucket.join(labels, "v")
-    mixed = stage(several(labelled).select("bucket", "n"), "mixed")
-    few = labelled.join(mixed.where(F.col("n") <= small).select("bucket"), "bucket")
-    lists = few.groupBy("bucket").agg(F.collect_list(F.struct("v", "label")).alias("members"))  # at most ``small`` of them
-    across = lists.select("members", F.explode("members").alias("p")).select("p", F.explode("members").alias("q"))
-    again = across.where("p.v < q.v and p.label <> q.label").select(F.col("p.v").alias("a"), F.col("q.v").alias("b"))
-    middle = mixed.where((F.col("n") > small) & (F.col("n") <= max(small, large)))
-    if not middle.isEmpty():
-        again = again.union(by_samples(middle))
-    run(again.distinct())
-    if not mixed.where(F.col("n") > max(small, large)).isEmpty():
-        still = several(bucket.join(labels, "v")).select("bucket", "n")
-        run(by_samples(still.where(F.col("n") > max(small, large))).distinct())
-    empty = spark.createDataFrame([], "a long, b long, similarity double")
-    return (empty if found is None else found), labels
+    mixed = stage(several(labelled).select("bucket", F.greatest(F.ceil(F.col("sizes") / block_shingles), F.ceil(F.col("members") / block_members)).alias("blocks")), "mixed")
+    if mixed.isEmpty():
+        return labels
+    placed = labelled.join(mixed, "bucket").select("bucket", "blocks", block(F.col("blocks")).alias("block"), "v", "label", "size")
+    each = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    one, two = F.least("block", "other"), F.greatest("block", "other")
+    side = F.when(one == two, -1).otherwise((F.col("block") == two).cast("int"))
+    sent = each.select("bucket", one.alias("one"), two.alias("two"), side.alias("side"), "v", "label", "size")
+    return joined(labels, met(stage(sent, "meetings"), shingles, similarity))
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -375,13 +397,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     last and are kept as null. Rows that repeat an id and a text are marked alike; other columns are ignored; an
     empty table gives an empty result.
     """
-    cells, texts = frequencies(docs)
-    weigh = Weights(cells, texts)
+    weigh = Weights(*frequencies(docs))
     rows = signatures(docs, weigh)
-    order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("id"))
-    alike = rows.where("key is not null").groupBy("key").agg(F.min(order).alias("best"), F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.count(F.lit(1)).alias("n"))
-    vertices = stage(alike.select(F.monotonically_increasing_id().alias("v"), "key", F.col("best.id").alias("rep"), "bands", "marks", "n"), "vertices")
-    _, labels = links(docs, vertices, docs.sparkSession.sparkContext.broadcast(weigh), similarity)
+    vertices = vertices_of(rows)
+    labels = links(docs, vertices, docs.sparkSession.sparkContext.broadcast(weigh), similarity)
     named = vertices.select("v", "key", "rep", "n").join(labels, "v")
     order = F.struct(F.col("rep").isNull().alias("z"), F.col("rep").alias("id"))
     tops = named.groupBy("label").agg(F.min(order).alias("top"), F.sum("n").alias("class_size"))
