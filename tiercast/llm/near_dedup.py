@@ -47,6 +47,7 @@ BLOCK_SHINGLES = 1 << 16
 BLOCK_MEMBERS = 256
 CHUNK_SHINGLES = 1 << 18  # shingles of the meetings that one call compares, on average
 SALTS = 64
+FILTER_BITS = 1 << 26  # of the filter that tells which texts may be wanted again
 _RARE = math.log(1000)
 
 
@@ -243,22 +244,80 @@ def vertices_of(rows: DataFrame) -> DataFrame:
     return stage(alike.select(F.monotonically_increasing_id().alias("v"), "key", F.col("best.id").alias("rep"), "best.at", "bands", "size", "n"), "vertices")
 
 
+def filter_of(wanted: DataFrame) -> np.ndarray:
+    """A Bloom filter of fixed size over the text hashes ``at``: two bits each."""
+    words = FILTER_BITS // 64
+
+    def mark(batches):
+        bits = np.zeros(words, W.U64)
+        for batch in batches:
+            for half in ("a", "b"):
+                _set(bits, batch.column(half).to_numpy().view(W.U64))
+        if bits.any():
+            parts = range(0, words, PART)
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([W.squeeze(bits[p : p + PART]) for p in parts], pa.binary())], names=["part", "data"])
+
+    def merge(batches):
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, data in zip(*(batch.column(c).to_pylist() for c in ("part", "data"))):
+                new = W.unsqueeze(data, W.U64)[0]
+                found[part] = found[part] | new if part in found else new
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([W.squeeze(v) for v in found.values()], pa.binary())], names=["part", "data"])
+
+    schema = "part int, data binary"
+    marked = wanted.select("at.a", "at.b").mapInArrow(mark, schema)
+    some = marked.withColumn("salt", F.spark_partition_id() % SALTS).repartition("part", "salt").select("part", "data").mapInArrow(merge, schema)
+    bits = np.zeros(words, W.U64)
+    for row in some.repartition("part").mapInArrow(merge, schema).collect():  # a fixed number of bits
+        bits[row.part : row.part + PART] = W.unsqueeze(bytes(row.data), W.U64)[0]
+    return bits
+
+
+def _places(half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    place = W.mix(half) & W.U64(FILTER_BITS - 1)
+    return (place >> W.U64(6)).astype(np.int64), W.U64(1) << (place & W.U64(63))
+
+
+def _set(bits: np.ndarray, half: np.ndarray) -> None:
+    word, bit = _places(half)
+    np.bitwise_or.at(bits, word, bit)
+
+
+def _has(bits: np.ndarray, half: np.ndarray) -> np.ndarray:
+    word, bit = _places(half)
+    return (bits[word] & bit) != 0
+
+
 def shingled(docs: DataFrame, vertices: DataFrame, weights) -> DataFrame:
-    """Staged by ``v``: ``v, hashes, weights`` with the weighted shingles of each vertex's whole text."""
-    wanted = stage(vertices.select("v", "rep", "at"), "wanted")  # its size on disk lets Spark choose whether texts must move
+    """Staged by ``v``: ``v, hashes, weights`` with the weighted shingles of each vertex's whole text.
+
+    Texts are scanned where they lie. A filter of fixed size passes those that may be wanted; only their
+    shingles travel to be told apart by id and text hash. (For very many vertices it fills up and passes
+    more: that costs time, and changes no result.)
+    """
+    wanted = stage(vertices.select("v", "rep", "at"), "wanted")
+    bits = docs.sparkSession.sparkContext.broadcast(filter_of(wanted))  # FILTER_BITS
     texts = docs.select(F.col("doc_id").cast("long").alias("d"), text_hash().alias("h"), text_of().alias("text"))
-    named = texts.join(wanted, F.col("rep").eqNullSafe(F.col("d")) & (F.col("at") == F.col("h"))).select("v", "text")
 
     def in_task(batches):
-        weigh = weights.value
-        for table in W.blocks(batches):
+        weigh, held = weights.value, bits.value
+
+        def passed():
+            for batch in batches:
+                h = batch.column("h")
+                yield batch.filter(pa.array(_has(held, h.field("a").to_numpy().view(W.U64)) & _has(held, h.field("b").to_numpy().view(W.U64))))
+
+        for table in W.blocks(passed()):
             hashes, whose, tf, n = counted(table.column("text"))
             weighed, bounds = weigh(hashes, tf), W.segments(whose, n)
             cut = lambda values: pa.array([values[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary())
-            yield pa.RecordBatch.from_arrays([table.column("v").combine_chunks(), cut(hashes), cut(weighed)], names=["v", "hashes", "weights"])
+            yield pa.RecordBatch.from_arrays([*(table.column(c).combine_chunks() for c in ("d", "h")), cut(hashes), cut(weighed)], names=["d", "h", "hashes", "weights"])
 
+    made = texts.mapInArrow(in_task, "d long, h struct<a:long,b:long>, hashes binary, weights binary")
+    named = made.join(wanted, F.col("rep").eqNullSafe(F.col("d")) & (F.col("at") == F.col("h"))).select("v", "hashes", "weights")
     # Rows that repeat an id and a text give a vertex several times.
-    return stage_by(named.mapInArrow(in_task, "v long, hashes binary, weights binary").dropDuplicates(["v"]), "v", "shingled")
+    return stage_by(named.dropDuplicates(["v"]), "v", "shingled")
 
 
 class Members:
@@ -357,16 +416,16 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, vertices: DataFrame, weights, similarity: float, block_shingles: int = BLOCK_SHINGLES, block_members: int = BLOCK_MEMBERS) -> DataFrame:
     """Classes of vertices, ``v, label``, by all links within buckets."""
-    bucket = stage(vertices.select("v", "size", F.explode("bands").alias("bucket")), "buckets")
+    bucket = vertices.select("v", "size", F.explode("bands").alias("bucket"))
     labels = vertices.select("v", F.col("v").alias("label"))
-    several = lambda df: df.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("v").alias("hub"), F.sum("size").alias("sizes"), F.count(F.lit(1)).alias("members")).where("x < y")
     block = lambda n: F.pmod(F.xxhash64("v"), n)
 
     # Every vertex of a bucket with the least one: that one comes to all blocks of the vertices it is least for.
-    busy = stage(several(bucket.withColumn("label", F.col("v"))).select("bucket", "hub"), "busy")
-    if busy.isEmpty():
+    busy = bucket.groupBy("bucket").agg(F.min("v").alias("hub"), F.max("v").alias("last")).where("hub < last").select("bucket", "hub")
+    held = stage(bucket.join(stage(busy, "busy"), "bucket").where("v <> hub"), "members")
+    if held.isEmpty():
         return labels
-    pairs = bucket.join(busy, "bucket").where("v <> hub").select("hub", "v", "size").distinct()
+    pairs = held.select("hub", "v", "size").distinct()
     pairs = stage(pairs, "pairs")
     shingles = shingled(docs, vertices.join(pairs.select("v").union(pairs.select("hub")).distinct(), "v", "left_semi"), weights)
     groups = pairs.groupBy("hub").agg(F.greatest(F.ceil(F.sum("size") / block_shingles), F.ceil(F.count(F.lit(1)) / block_members)).alias("blocks"))
@@ -376,9 +435,16 @@ def links(docs: DataFrame, vertices: DataFrame, weights, similarity: float, bloc
     sent = meeting(members, 1).unionByName(meeting(hubs, 0))
     labels = joined(labels, met(stage(sent, "meetings"), shingles, similarity))
 
-    # Buckets that still hold several classes, whole.
-    labelled = bucket.join(labels, "v")
-    mixed = stage(several(labelled).select("bucket", F.greatest(F.ceil(F.col("sizes") / block_shingles), F.ceil(F.col("members") / block_members)).alias("blocks")), "mixed")
+    # Buckets that still hold several classes, whole. All pairs with the least vertex are known by now, so it
+    # stays away, and buckets of the same members are one.
+    labelled = held.join(labels, "v")
+    whose = F.xxhash64("v")
+    several = labelled.groupBy("bucket").agg(
+        F.min("label").alias("x"), F.max("label").alias("y"), F.sum("size").alias("sizes"), F.count(F.lit(1)).alias("members"),
+        F.bit_xor(whose).alias("a"), F.sum(whose.cast("decimal(38,0)")).alias("b"),
+    ).where("x < y")
+    each_set = several.groupBy("members", "a", "b").agg(F.min("bucket").alias("bucket"), F.first("sizes").alias("sizes"))
+    mixed = stage(each_set.select("bucket", F.greatest(F.ceil(F.col("sizes") / block_shingles), F.ceil(F.col("members") / block_members)).alias("blocks")), "mixed")
     if mixed.isEmpty():
         return labels
     placed = labelled.join(mixed, "bucket").select("bucket", "blocks", block(F.col("blocks")).alias("block"), "v", "label", "size")
