@@ -6,12 +6,14 @@ the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tiercast.llm import exact_dedup, near_dedup, quality, secret_scans
 from tiercast.llm.queries import pack_documents
 from tiercast.llm.tables import read
-from tiercast.plans.staging import stage
+from tiercast.plans.staging import scratch, stage_folder
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +54,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; what a stage wrote on its way is removed when its result is whole."""
     docs = read(spark, sf_dir, "documents")
-    for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    folder = f"{stage_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    for name, step in STAGES:
+        with scratch(spark):
+            step(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.cases import DOC_SCHEMA, awkward, clashing, table
 from tiercast.llm import ann, exact_dedup, lm_scoring, near_dedup, quality, secret_scans, suffix_dedup
+from tiercast.llm.text_blocks import key_ranges
 from tiercast.llm.words import blocks, unsqueeze, squeeze
 
 SMALL = "/root/testdata/sf0.001"
@@ -135,6 +136,12 @@ def test_suffixes_of_given_table(spark):
         assert b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])) == bytes(r.kept)
 
 
+def test_key_ranges_follow_the_corpus(spark):
+    least = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert key_ranges(spark.range(3), 1 << 20, 16 << 20) == least
+    assert key_ranges(spark.range(10_000), 1 << 20, 16 << 20) == 625
+
+
 def test_family_merges_geometrically():
     family = suffix_dedup.Family()
     for k in range(11):
@@ -302,6 +309,44 @@ def test_sparse_sites_shrink(spark):
     assert abs(hosts["tiny"] - rate) < abs(0.99 - rate)
 
 
+def brute_judged(rows):
+    """Posteriors and moved log odds written out: rows of (host, path, margin)."""
+    p = [1 / (1 + math.exp(-m)) for _, _, m in rows]
+    rate = sum(p) / len(p)
+    sums = lambda key: {k: (sum(1 for r in rows if key(r) == k), sum(x for x, r in zip(p, rows) if key(r) == k)) for k in {key(r) for r in rows}}
+
+    def strength(groups, centre):
+        between = sum((s / n - centre(k)) ** 2 for k, (n, s) in groups.items()) / len(groups)
+        within = sum(rate * (1 - rate) / n for n, _ in groups.values()) / len(groups)
+        if len(groups) < 2 or between <= within or not 0 < rate < 1:
+            return 1e6
+        return min(max(rate * (1 - rate) / (between - within) - 1, 1.0), 1e6)
+
+    hosts, paths = sums(lambda r: r[0]), sums(lambda r: r[:2])
+    k_host = strength(hosts, lambda k: rate)
+    host_rate = {k: (s + k_host * rate) / (n + k_host) for k, (n, s) in hosts.items()}
+    k_path = strength(paths, lambda k: host_rate[k[0]])
+    clip = lambda x: min(max(x, 1e-6), 1 - 1e-6)
+    out = []
+    for (host, path, margin), own in zip(rows, p):
+        n, s = paths[(host, path)]
+        path_rate = clip((s - own + k_path * host_rate[host]) / (n - 1 + k_path))
+        moved = margin + quality.SITE_WEIGHT * (math.log(path_rate / (1 - path_rate)) - math.log(clip(rate) / (1 - clip(rate))))
+        out.append((margin, host_rate[host], path_rate, 1 / (1 + math.exp(-moved))))
+    return out
+
+
+@pytest.mark.parametrize("seed, sites", [(1, 30), (2, 3), (3, 1)])
+def test_posteriors_and_moved_odds(spark, seed, sites):
+    rng = random.Random(seed)
+    lean = {h: rng.uniform(-6, 3) for h in range(sites)}
+    rows = [(f"h{h}", f"p{rng.randrange(4)}", rng.gauss(lean[h], 2)) for h in (min(int(rng.expovariate(0.2)), sites - 1) for _ in range(600))]
+    found = spark.createDataFrame([(i, 0, *r) for i, r in enumerate(rows)], "doc_id long, text_key long, host string, path string, margin double")
+    got = {r.doc_id: (r.evidence, r.host_rate, r.path_rate, r.bad) for r in quality.judged(found).collect()}
+    for i, want in enumerate(brute_judged(rows)):
+        assert got[i] == pytest.approx(want, rel=1e-9, abs=1e-12)
+
+
 def test_classifier_awkward_rows(spark):
     docs = clashing(awkward(spark))
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -262,20 +262,50 @@ def message(*fields):
     return out
 
 
-def test_unigram_model():
+def unigram_model():
     pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)]
     pieces += [(p, s, 1) for p, s in (("▁", -3.0), ("▁a", -2.0), ("▁ab", -2.5), ("b", -4.0), ("c", -4.1), ("bc", -5.0), ("abc", -9.0), ("a", -4.2))]
     data = b"".join(message((1, message((1, p.encode()), (2, s), (3, k)))) for p, s, k in pieces)
-    data += message((2, message((3, 1), (35, 1)))) + message((3, message((1, b"identity"), (3, 1), (4, 1), (5, 1))))
-    tool = sentencepiece_codec.Codec(data)
+    return data + message((2, message((3, 1), (35, 1)))) + message((3, message((1, b"identity"), (3, 1), (4, 1), (5, 1))))
+
+
+def test_unigram_model():
+    tool = sentencepiece_codec.Codec(unigram_model())
     texts = ["abc ab  bca", " aabbcc ", "xyz abc", "", "é"]
-    ids, bounds = tool.encode(pa.array(texts))
+    ids, bounds, parity = tool.encode(pa.array(texts))
+    assert parity.all()
     got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
     assert got == tool.other.encode(texts) and tool.differ == 0
     assert tool.decode(ids, bounds) == ["abc ab bca", "aabbcc", "xyz abc", "", "é"]
     assert isinstance(ids, np.ndarray)
 
 
+def test_parity_of_differing_cuts(monkeypatch):
+    """Where the libraries differ, and only there, parity is false and the other library's ids stand: for more
+    cuts than a worker remembers, also when they come again, and not for words that merely hold such a cut."""
+    tool = sentencepiece_codec.Codec(unigram_model())
+    real = tool.other
+
+    class Other:
+        def encode(self, texts, num_threads=1):
+            if isinstance(texts, str):
+                return real.encode(texts)
+            return [ids + [7] if t.startswith("x") else ids for t, ids in zip(texts, real.encode(texts))]
+
+    tool.other = Other()
+    monkeypatch.setattr("tiercast.llm.tokens.REMEMBERED", 1000)
+    apart = [f"x{n}" for n in range(3000)]
+    first = ["ab " + " ".join(apart[k : k + 3]) for k in range(0, 3000, 3)]
+    texts = first + ["ab bca", "", "abx1 cx2", "a x5 b"] + first[:50] + ["ax5"]
+    for _ in range(2):
+        ids, bounds, parity = tool.encode(pa.array(texts))
+        assert parity.tolist() == [False] * 1000 + [True, True, True, False] + [False] * 50 + [True]
+        for k in (0, 999, 1000, 1001, 1002, 1003, 1004):
+            mine = [real.encode(w) + [7] * w.startswith("x") for w in texts[k].split()]
+            assert ids[bounds[k] : bounds[k + 1]].tolist() == [i for part in mine for i in part]
+    assert tool.differ >= 3000
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], DOC_SCHEMA)
     assert sentencepiece_codec.encode(empty, PIECES).count() == 0

@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 
 from tiercast.llm import words as W
 from tiercast.llm.tables import ship
-from tiercast.llm.text_blocks import opened, stage_blocks
+from tiercast.llm.text_blocks import key_ranges, opened, stage_blocks
 
 ORDER = 3
 BACKOFF = 0.4
 BLOCK_BYTES = 4 << 20  # of text in a block
+RANGE_BYTES = 16 << 20  # of text for each key range of the count tables
 # Keys are the upper 56 bits of a hash: of 10 ** 13 n-grams one in 7,000 would share its count with another.
 KEY_BITS = 56
 MICRO = 1_000_000
@@ -135,12 +136,13 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, ranges
     Words are what ASCII white space separates. A null or empty text has no words and scores
     0. Null ids are kept as null, repeated rows are documents of their own (and count for each
     other), other columns are ignored, an empty table gives an empty result. ``ranges`` is the
-    number of key ranges of the count tables, by default four for each shuffle partition.
+    number of key ranges of the count tables, by default one for ``RANGE_BYTES`` of text, and four
+    for each shuffle partition at least.
     """
     spark = docs.sparkSession
-    ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ship(spark)
     blocks = stage_blocks(docs, block_bytes)
+    ranges = ranges or key_ranges(blocks, block_bytes, RANGE_BYTES)
     total = blocks.agg(F.sum("words")).first()[0] or 0
     answers = ngram_runs(blocks, ranges, order).groupBy("range").applyInArrow(_answer, "range int, block long, counts binary")
 

@@ -179,7 +179,7 @@ def _strength(rate: float, groups: float, between: float, within: float) -> floa
 
 
 def posteriors(found: DataFrame) -> tuple[DataFrame, float]:
-    """Per path: ``host, path, n, s, host_rate, prior`` (its prior strength); and the global rate."""
+    """Staged, per path: ``host, path, n, s, host_rate, prior`` (its prior strength); and the global rate."""
     p = 1 / (1 + F.exp(-F.col("margin")))
     paths = found.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum(p).alias("s"))
     hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s"))
@@ -194,7 +194,8 @@ def posteriors(found: DataFrame) -> tuple[DataFrame, float]:
     off = F.col("s") / F.col("n") - F.col("host_rate")
     of_paths = both.agg(F.avg(off * off).alias("b"), F.avg(F.lit(chance) / F.col("n")).alias("w"), F.count(F.lit(1)).alias("g")).first()
     k_path = _strength(rate, of_paths.g or 0, of_paths.b or 0.0, of_paths.w or 0.0)
-    return both.select("host", "path", "n", "s", "host_rate", F.lit(k_path).alias("prior")), rate
+    # Its size on disk lets Spark send it to the documents, or split the paths that hold most of them.
+    return stage(both.select("host", "path", "n", "s", "host_rate", F.lit(k_path).alias("prior")), "paths"), rate
 
 
 def scored(
@@ -208,6 +209,15 @@ def scored(
     other columns are ignored; without labels every document stays.
     """
     found = evidence(docs, train(docs, labels, train_rows), host, path)
+    rows = judged(found)
+    return rows.withColumn("keep", F.col("bad") < threshold)
+
+
+def judged(found: DataFrame) -> DataFrame:
+    """``doc_id, text_key, evidence, host_rate, path_rate, bad`` of documents with their ``margin``.
+
+    A document's own evidence is taken out of its path's, and what the rest of the path says moves its log odds.
+    """
     groups, rate = posteriors(found)
     p = 1 / (1 + F.exp(-F.col("margin")))
     logit = lambda c: F.log(c / (1 - c))
@@ -215,10 +225,9 @@ def scored(
     path_rate = inside((F.col("s") - p + F.col("prior") * F.col("host_rate")) / (F.col("n") - 1 + F.col("prior")))
     base = min(max(rate, 1e-6), 1 - 1e-6)
     moved = F.col("margin") + SITE_WEIGHT * (logit(path_rate) - math.log(base / (1 - base)))
-    rows = found.join(groups, ["host", "path"]).select(
+    return found.join(groups, ["host", "path"]).select(
         "doc_id", "text_key", F.col("margin").alias("evidence"), "host_rate", path_rate.alias("path_rate"), (1 / (1 + F.exp(-moved))).alias("bad")
     )
-    return rows.withColumn("keep", F.col("bad") < threshold)
 
 
 def keep(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:

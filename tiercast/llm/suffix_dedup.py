@@ -31,13 +31,14 @@ from pyspark.sql import functions as F
 
 from tiercast.llm import words as W
 from tiercast.llm.tables import ship
-from tiercast.llm.text_blocks import opened, stage_blocks
+from tiercast.llm.text_blocks import key_ranges, opened, stage_blocks
 from tiercast.plans.staging import stage
 
 WIDTH = 50
 ANCHOR = 16
 SPAN = WIDTH - ANCHOR + 1  # anchors a window can have, and windows a run can have
 BLOCK_BYTES = 1 << 20
+RANGE_BYTES = 16 << 20  # of text for each key range
 STRETCH = 8192  # runs whose windows are compared at a time
 _LAST = np.iinfo(np.int64).max  # null ids come last
 
@@ -279,13 +280,13 @@ def dedup(docs: DataFrame, ranges: int | None = None, block_bytes: int = BLOCK_B
     bytes (null if not asked for). A null text is empty; texts under 50 bytes stay whole. Null
     ids count as larger than any other and as equal to each other; rows that repeat an id are
     one document to others and do not remove each other's bytes. Other columns are ignored, an
-    empty table gives an empty result. ``ranges`` is the number of key ranges, by default four
-    for each shuffle partition.
+    empty table gives an empty result. ``ranges`` is the number of key ranges, by default one for
+    ``RANGE_BYTES`` of text, and four for each shuffle partition at least.
     """
     spark = docs.sparkSession
     ship(spark)
-    ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = stage_blocks(docs, block_bytes)
+    ranges = ranges or key_ranges(blocks, block_bytes, RANGE_BYTES)
     first = stage(_asks(blocks, ranges).groupBy("range").applyInArrow(_answer_runs, _ANSWERS), "suffix-answers")
     second = stage(_contexts(blocks, first, ranges).groupBy("range").applyInArrow(_answer_windows, _ANSWERS), "window-answers")
 

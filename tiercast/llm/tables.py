@@ -10,7 +10,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiercast.plans.staging import stage_folder
+from tiercast.plans.staging import register, stage_folder
 
 
 _shipped: set[str] = set()
@@ -61,5 +61,6 @@ def stage_by(df: DataFrame, key: str, name: str) -> DataFrame:
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    register(table)
     df.write.format("parquet").bucketBy(buckets, key).option("path", f"{stage_folder(spark).rstrip('/')}/{table}").saveAsTable(table)
     return spark.table(table)

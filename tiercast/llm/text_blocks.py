@@ -32,6 +32,12 @@ def stage_blocks(docs: DataFrame, size: int) -> DataFrame:
     return stage_by(rows.mapInArrow(in_task, "block long, words long, head binary, text binary"), "block", "blocks")
 
 
+def key_ranges(blocks: DataFrame, block_bytes: int, range_bytes: int) -> int:
+    """So many ranges of hashed keys that each gets the keys of about ``range_bytes`` of text, whatever the corpus."""
+    least = 4 * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-blocks.count() * block_bytes // range_bytes))
+
+
 def opened(head: bytes, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A block's ids, null flags, bytes and offsets."""
     ids, missing, lengths = W.unsqueeze(head, np.int64, np.uint8, np.int64)
