@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiercast.llm import words as W
-from tiercast.llm.tables import packed, ship, text_of, unpacked
+from tiercast.llm.tables import ship, text_of, unpacked
 from tiercast.plans.staging import stage
 
 # The sample that the weights are fitted on: at most so many labelled rows, by least hash of their id.
@@ -143,14 +144,19 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[tu
     return [fit(flat, bounds, (bad & bit > 0).astype(float)) for bit in (1, 2)]
 
 
-def evidence(docs: DataFrame, model: list[tuple[np.ndarray, float]], host: str = "source", path: str = "lang") -> DataFrame:
-    """Staged, a row per document: ``doc_id, text_key, host, path, margin`` (log odds that it should go for either reason)."""
+def evidence(docs: DataFrame, model: list[tuple[np.ndarray, float]], host: str = "source", path: str = "lang", carry: bool = False) -> DataFrame:
+    """Staged, a row per document: ``doc_id, text_key, host, path, margin`` (log odds that it should go for either reason).
+
+    With ``carry`` the whole row stands beside them as ``_row``.
+    """
     weights = np.stack([w for w, _ in model]).astype(np.float32)
     biases = [b for _, b in model]
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     rows = docs.select(
-        F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("text_key"), name(host).alias("host"), name(path).alias("path"), F.col("text").cast("string")
-    )
+        F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("text_key"), name(host).alias("host"), name(path).alias("path"), F.col("text").cast("string"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")] if carry else []),
+    )
+    told = ["doc_id", "text_key", "host", "path", *(["_row"] if carry else [])]
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # a fixed size: one number per hashed feature
 
@@ -164,10 +170,11 @@ def evidence(docs: DataFrame, model: list[tuple[np.ndarray, float]], host: str =
                 z = np.clip(np.bincount(row, weights=head[flat], minlength=table.num_rows) + bias, -30, 30)
                 clean = clean / (1 + np.exp(z))
             margin = np.log1p(-clean) - np.log(clean)
-            kept = [table.column(c).combine_chunks() for c in ("doc_id", "text_key", "host", "path")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(margin, pa.float64())], names=["doc_id", "text_key", "host", "path", "margin"])
+            kept = [table.column(c).combine_chunks() for c in told]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(margin, pa.float64())], names=[*told, "margin"])
 
-    return stage(rows.mapInArrow(in_task, "doc_id long, text_key long, host string, path string, margin double"), "evidence")
+    schema = T.StructType([rows.schema[c] for c in told] + [T.StructField("margin", T.DoubleType())])
+    return stage(rows.mapInArrow(in_task, schema), "evidence")
 
 
 def _strength(rate: float, groups: float, between: float, within: float) -> float:
@@ -217,6 +224,7 @@ def judged(found: DataFrame) -> DataFrame:
     """``doc_id, text_key, evidence, host_rate, path_rate, bad`` of documents with their ``margin``.
 
     A document's own evidence is taken out of its path's, and what the rest of the path says moves its log odds.
+    Whole rows (``_row``) come along where they are there.
     """
     groups, rate = posteriors(found)
     p = 1 / (1 + F.exp(-F.col("margin")))
@@ -226,13 +234,18 @@ def judged(found: DataFrame) -> DataFrame:
     base = min(max(rate, 1e-6), 1 - 1e-6)
     moved = F.col("margin") + SITE_WEIGHT * (logit(path_rate) - math.log(base / (1 - base)))
     return found.join(groups, ["host", "path"]).select(
-        "doc_id", "text_key", F.col("margin").alias("evidence"), "host_rate", path_rate.alias("path_rate"), (1 / (1 + F.exp(-moved))).alias("bad")
-    )
+        "doc_id", "text_key", F.col("margin").alias("evidence"), "host_rate", path_rate.alias("path_rate"), (1 / (1 + F.exp(-moved))).alias("bad"),
+        *[c for c in found.columns if c == "_row"],
+    )
+
 
+def keep(
+    docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS
+) -> DataFrame:
+    """The documents that stay, with all their columns.
 
-def keep(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    rejected = scored(docs, labels, **how).where("not keep").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    gone = stage(rejected.distinct(), "gone")  # its size on disk lets Spark choose whether texts must move
-    rows = packed(docs, _mine=F.xxhash64(text_of()))
-    return unpacked(rows.join(gone, F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_key")), "left_anti"))
+    Rows are scored and filtered where they lie: the evidence is written with the whole row beside it, and
+    only the posteriors of paths travel.
+    """
+    found = evidence(docs, train(docs, labels, train_rows), host, path, carry=True)
+    return unpacked(judged(found).where(F.col("bad") < threshold))
