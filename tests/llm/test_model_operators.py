@@ -383,6 +383,80 @@ def test_recall(spark, folder):
     assert np.mean([len({*got[q].values()} & {*want[q]}) / ann.K for q in want]) >= 0.9
 
 
+def measured(x, asked, k):
+    """Recall of the numpy side of the forest, and the share of all vectors that is scored."""
+    near = ann.nearness(np.column_stack([x[asked], np.zeros(len(asked))]).astype(np.float32))
+    codes = np.concatenate([ann.strings(ann.nearness(ann.lengthened(x[i : i + 1024], 1.0))) for i in range(0, len(x), 1024)])
+    want, length = ann.wanted(len(x)), ann.depth(len(x))
+    shift = ann.LETTER * (ann.SYMBOLS - length)
+    trees, opened, _ = ann.ascent(near, length, min(ann.TREES * (2 * ann.AXES) ** length, 2 * want * (2 * ann.AXES) ** length // len(x)))
+    recall, share = [], []
+    for row, tree, code in zip(asked, trees, opened >> shift):
+        score = x @ x[row]
+        score[row] = -np.inf
+        held, total = np.zeros(len(x), bool), 0
+        for t, c in zip(tree, code):
+            if total >= want:
+                break
+            mine = codes[:, t] >> shift == c
+            held |= mine
+            total += mine.sum()
+        recall.append(held[np.argsort(-score)[:k]].mean())
+        share.append(held.mean())
+    return np.mean(recall), np.mean(share)
+
+
+def test_share_of_pairs_scored():
+    """Vectors spread evenly over a sphere, the worst case: recall stays while the share of pairs scored falls."""
+    shares = []
+    for n in (2000, 12000):
+        x = np.random.default_rng(n).standard_normal((n, 64))
+        x /= np.sqrt((x * x).sum(axis=1))[:, None]
+        recall, share = measured(x, np.arange(0, n, n // 40), ann.K)
+        assert recall >= 0.9
+        shares.append(share)
+    assert shares[0] < 0.5 and shares[1] < 0.36
+
+
+def test_ascent_takes_the_cheapest_prefixes():
+    near = ann.nearness(np.random.default_rng(3).standard_normal((3, 9)).astype(np.float32))
+    lacks = (near.max(axis=3, keepdims=True) - near) ** 2
+    own = ann.strings(near)
+    for count in (1, 7, 500):
+        trees, codes, told = ann.ascent(near, 2, count)
+        for q in range(3):
+            all_costs = sorted(a + b for t in range(ann.TREES) for a in lacks[q, t, 0] for b in lacks[q, t, 1])
+            top, rest = codes[q] >> ann.LETTER * (ann.SYMBOLS - 2), (1 << ann.LETTER * (ann.SYMBOLS - 2)) - 1
+            costs = [lacks[q, t, 0, c >> ann.LETTER] + lacks[q, t, 1, c & (2 * ann.AXES - 1)] for t, c in zip(trees[q], top)]
+            assert np.allclose(costs, told[q]) and np.allclose(costs, all_costs[:count]) and len({*zip(trees[q].tolist(), top.tolist())}) == count
+            assert ((codes[q] & rest) == (own[q, trees[q]] & rest)).all()
+
+
+def test_nearest_dense_and_copied(spark):
+    """A third are copies of one vector, a third lie close together; small blocks, all wanted: exact. Parted leaves: scores near it."""
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal(8)
+    x = np.concatenate([np.tile(centre, (120, 1)), centre + 0.01 * rng.standard_normal((120, 8)), rng.standard_normal((120, 8)) * 2])
+    rows = list(enumerate(x))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    queries = vectors.where("vec_id % 20 = 0")
+    got = defaultdict(list)
+    for r in ann.search(ann.index(vectors), queries, k=5, want=10**9, block=16, chunk_rows=200).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    for i in range(0, 360, 20):
+        exact = sorted((-float((x[j] * x[i]).sum()), j) for j in range(360) if j != i)[:5]
+        assert [g[0] for g in got[i]] == [j for _, j in exact]
+        assert np.allclose([g[1] for g in got[i]], [-s for s, _ in exact], rtol=1e-14)
+    # With leaves of ten, near copies are told apart less well (which of them comes fifth differs), their scores hardly differ.
+    parted = ann.index(vectors, leaf=10)
+    assert parted.last > parted.first > 0
+    found = defaultdict(list)
+    for r in ann.search(parted, queries, k=5).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.vec_id, r.score))
+    assert all(len(found[i]) == 5 and found[i][-1][1] >= 0.99 * got[i][-1][1] for i in range(0, 360, 20))
+    assert np.mean([len({j for j, _ in found[i]} & {j for j, _ in got[i]}) / 5 for i in range(0, 360, 20)]) >= 0.8
+
+
 def test_nearest_awkward_rows(spark):
     inf, nan = math.inf, math.nan
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0])]
