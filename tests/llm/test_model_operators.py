@@ -433,7 +433,7 @@ def test_ascent_takes_the_cheapest_prefixes():
 
 
 def test_nearest_dense_and_copied(spark):
-    """A third are copies of one vector, a third lie close together; small blocks, all wanted: exact. Parted leaves: scores near it."""
+    """A third are copies of one vector, a third lie close together; small blocks, all wanted: exact."""
     rng = np.random.default_rng(8)
     centre = rng.standard_normal(8)
     x = np.concatenate([np.tile(centre, (120, 1)), centre + 0.01 * rng.standard_normal((120, 8)), rng.standard_normal((120, 8)) * 2])
@@ -447,14 +447,26 @@ def test_nearest_dense_and_copied(spark):
         exact = sorted((-float((x[j] * x[i]).sum()), j) for j in range(360) if j != i)[:5]
         assert [g[0] for g in got[i]] == [j for _, j in exact]
         assert np.allclose([g[1] for g in got[i]], [-s for s, _ in exact], rtol=1e-14)
-    # With leaves of ten, near copies are told apart less well (which of them comes fifth differs), their scores hardly differ.
-    parted = ann.index(vectors, leaf=10)
-    assert parted.last > parted.first > 0
-    found = defaultdict(list)
-    for r in ann.search(parted, queries, k=5).orderBy("query_id", "rank").collect():
-        found[r.query_id].append((r.vec_id, r.score))
-    assert all(len(found[i]) == 5 and found[i][-1][1] >= 0.99 * got[i][-1][1] for i in range(0, 360, 20))
-    assert np.mean([len({j for j, _ in found[i]} & {j for j, _ in got[i]}) / 5 for i in range(0, 360, 20)]) >= 0.8
+
+
+def test_nearest_in_parted_leaves(spark):
+    """Half of the vectors lie in five dense bundles whose nodes are parted by further symbols."""
+    rng = np.random.default_rng(9)
+    bundles = np.repeat(rng.standard_normal((5, 16)), 60, axis=0) + 0.3 * rng.standard_normal((300, 16))
+    x = np.concatenate([bundles, rng.standard_normal((300, 16))])
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    forest = ann.index(vectors, leaf=10)
+    assert forest.last > forest.first > 0
+    found = defaultdict(set)
+    for r in ann.search(forest, vectors.where("vec_id % 20 = 0"), k=5, chunk_rows=50).collect():
+        found[r.query_id].add(r.vec_id)
+    recall = []
+    for i in range(0, 600, 20):
+        score = x @ x[i]
+        score[i] = -2
+        recall.append(len(found[i] & {*np.argsort(-score)[:5].tolist()}) / 5)
+    assert all(len(f) == 5 for f in found.values()) and np.mean(recall) >= 0.9
 
 
 def test_nearest_awkward_rows(spark):

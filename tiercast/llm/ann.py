@@ -13,9 +13,9 @@ nearness by inner product whatever the norms.)
    holds ``wanted(n)`` candidates. Node sizes come from a table that is counted once. A query that
    finds hardly any ascends to shorter prefixes, up to the root. Where vectors lie so dense that
    leaves have longer prefixes, the ascent opens prefixes of those lengths too, in one order of costs.
-3. Nodes that some query opened are dealt over tasks by hash, cut into blocks of at most ``BLOCK``
-   members and ``BLOCK`` queries on average, which meet in pairs. A task scores a block by one matrix
-   product and leaves the best few of each query, scored again term by term.
+3. Nodes that some query opened are cut into blocks of at most ``BLOCK`` members and ``BLOCK`` queries on
+   average, which meet in pairs, and every tree's meetings are dealt over tasks by hash. A task scores
+   a meeting by one matrix product and leaves the best few of each query, scored again term by term.
 
 Nothing goes to every shard: rows moved are vectors x trees and queries x opened nodes. How many
 candidates the wanted recall takes depends on how far neighbours stand out: for vectors spread evenly
@@ -44,7 +44,7 @@ SYMBOLS = 8
 LEAF_ROWS = 60  # members that a leaf has on average, at most
 LEAF = 4096  # a node with more is parted by the next symbol, if there is one
 BLOCK = 4096
-CHUNK_ROWS = 32768  # members that a task holds at a time, on average
+CHUNK_ROWS = 65536  # members of one tree that a task holds at a time, on average
 K = 20
 SEED = 11
 _STEP = 256  # rows hashed at a time
@@ -160,8 +160,8 @@ class Forest:
     def members(self, length: int) -> DataFrame:
         """``node, v, n`` of all leaves, or of all nodes of a shorter prefix."""
         if length == self.first:
-            return _in_trees(self.entries(), self.first, self.last).join(self.leaves, "node").select("node", "v")
-        return _in_trees(self.entries(), length, length).select("node", "v")
+            return _in_trees(self.entries(), self.first, self.last).join(self.leaves, "node").select("node", "t", "v")
+        return _in_trees(self.entries(), length, length).select("node", "t", "v")
 
     def sizes(self, length: int) -> DataFrame:
         return self.leaves if length == self.first else stage(self.members(length).groupBy("node").agg(F.count(F.lit(1)).alias("n")), "nodes")
@@ -208,7 +208,7 @@ def index(vectors: DataFrame, leaf: int = LEAF) -> Forest:
 
 
 def _opened(forest: Forest, asked: DataFrame, k: int, want: int) -> list[tuple[int, DataFrame]]:
-    """For prefixes of each length in use the nodes that queries ``v, dim, x`` open: staged ``q, node, n``."""
+    """For prefixes of each length in use the nodes that queries ``v, dim, x`` open: staged ``q, node, t, n``."""
     out = []
     length, waiting = forest.first, asked
     while True:
@@ -235,10 +235,10 @@ def _opened(forest: Forest, asked: DataFrame, k: int, want: int) -> list[tuple[i
 
         found = waiting.select("v", "dim", "x").mapInArrow(in_task, "q bigint, dim int, t int, length int, code bigint, cost double")
         tree, code = (F.lit(0), F.lit(0).cast("long")) if last == 0 else (F.col("t"), F.expr(f"shiftright(code, {LETTER} * ({SYMBOLS} - length))"))
-        sized = found.select("q", F.xxhash64("dim", tree.cast("int"), "length", code).alias("node"), "cost").join(forest.sizes(length), "node")
+        sized = found.select("q", F.xxhash64("dim", tree.cast("int"), "length", code).alias("node"), tree.cast("int").alias("t"), "cost").join(forest.sizes(length), "node")
         sized = sized.where("cost = 0").dropDuplicates(["q", "node"]) if last == 0 else sized
         before = F.sum("n").over(Window.partitionBy("q").orderBy("cost", "node").rowsBetween(Window.unboundedPreceding, -1))
-        held = stage(sized.withColumn("before", before).where(F.coalesce("before", F.lit(0)) < want).select("q", "node", "n"), "opened")
+        held = stage(sized.withColumn("before", before).where(F.coalesce("before", F.lit(0)) < want).select("q", "node", "t", "n"), "opened")
         out.append((length, held))
         enough = held.groupBy(F.col("q").alias("v")).agg(F.sum("n").alias("n")).where(F.col("n") >= min(want // 2, 4 * TREES * k))
         if length == 0:
@@ -256,13 +256,13 @@ def _met(forest: Forest, asked: DataFrame, opened: list[tuple[int, DataFrame]],
     blocks = lambda c: F.ceil(F.col(c) / block).cast("int")
     spread = open_nodes.select("node", blocks("n").alias("mine"), blocks("nq").alias("theirs"))
     rows = open_nodes.agg(F.sum(F.col("n") * blocks("nq"))).first()[0] or 0
-    chunks = max(1, -(-rows // chunk_rows))
-    chunk = F.pmod(F.xxhash64("node", "mb", "qb"), F.lit(chunks)).alias("chunk")
+    chunks = max(1, -(-rows // (TREES * chunk_rows)))  # of each tree
+    chunk = (F.col("t") * chunks + F.pmod(F.xxhash64("node", "mb", "qb"), F.lit(chunks))).alias("chunk")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     cut = lambda c, of: F.pmod(F.xxhash64(c), F.col(of)).cast("int")
     members = reduce(DataFrame.unionByName, [forest.members(length) for length, _ in opened]).join(spread, "node")
-    members = members.select("node", "v", cut("v", "mine").alias("mb"), every("theirs").alias("qb")).select(chunk, "node", "mb", "qb", "v")
-    sent = probes.join(spread, "node").select("node", "q", cut("q", "theirs").alias("qb"), every("mine").alias("mb"))
+    members = members.select("node", "t", "v", cut("v", "mine").alias("mb"), every("theirs").alias("qb")).select(chunk, "node", "mb", "qb", "v")
+    sent = probes.join(spread, "node").select("node", "t", "q", cut("q", "theirs").alias("qb"), every("mine").alias("mb"))
     sent = stage(sent.select(chunk, "node", "mb", "qb", "q"), "probes")
     none = F.lit(None)
     vectors = members.join(forest.vectors.select("v", "least", "dim", "x"), "v").select("chunk", "node", "mb", "qb", "v", "least", "dim", "x")
