@@ -469,6 +469,15 @@ def test_nearest_in_parted_leaves(spark):
     assert all(len(f) == 5 for f in found.values()) and np.mean(recall) >= 0.9
 
 
+@pytest.mark.parametrize("size", [1e200, 1e-200])
+def test_nearest_of_extreme_lengths(spark, size):
+    """Products beyond the range of doubles are ties at infinity or zero."""
+    vectors = spark.createDataFrame([(i, [size * (1 + i % 3), size]) for i in range(30)], "vec_id long, embedding array<double>")
+    got = ann.search(ann.index(vectors), vectors.where("vec_id % 20 = 0"), k=4).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [(0, i) for i in (1, 2, 3, 4)] + [(20, i) for i in (0, 1, 2, 3)]
+    assert {r.score for r in got} == {math.inf if size > 1 else 0.0}
+
+
 def test_nearest_awkward_rows(spark):
     inf, nan = math.inf, math.nan
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0])]

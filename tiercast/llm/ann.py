@@ -299,6 +299,7 @@ def best_of(member_of, probe_of, probe, q_ids, q, v, least, x, k):
     """Each query's best ``k`` of the members of its meetings: query ids, vertices and scores, ties to the smaller ``least``."""
     by, to = np.argsort(member_of, kind="stable"), np.argsort(probe_of, kind="stable")
     slack = 1e-12 * np.sqrt((q * q).sum(axis=1)) * np.sqrt((x * x).sum(axis=1).max())
+    slack[~np.isfinite(slack)] = 0  # squares beyond the range of doubles
     found = []
     for one in np.unique(probe_of):
         m = by[slice(*np.searchsorted(member_of[by], [one, one + 1]))]
