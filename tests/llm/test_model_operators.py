@@ -142,11 +142,53 @@ def test_key_ranges_follow_the_corpus(spark):
     assert key_ranges(spark.range(10_000), 1 << 20, 16 << 20) == 625
 
 
+def suffix(anchor, run):
+    return np.array([anchor.ljust(16, b"\0") + bytes([run]) * 8], "S24")
+
+
 def test_family_merges_geometrically():
-    family = suffix_dedup.Family()
+    family = suffix_dedup.Family(11)
     for k in range(11):
-        family.add((np.array([k], np.uint64), np.array([k], np.uint64), np.array([k])))
-    assert [len(level[0]) for level in family.levels] == [8, 2, 1]
+        family.add(suffix(b"%d" % k, 1), np.array([k]))
+    assert [len(level) for level in family.levels] == [8, 2, 1]
+    assert all((level.suffixes[1:] > level.suffixes[:-1]).all() for level in family.levels)
+    family.add(suffix(b"3", 1), np.array([3]))  # known: no level is touched
+    assert [len(level) for level in family.levels] == [8, 2, 1]
+
+
+@pytest.mark.parametrize("batch", [1, 2, 7, 50, 1000])
+def test_family_answers_on_arrival(batch):
+    """Whatever the batches and the levels that they meet: the first equal entry, and all anchors with several runs."""
+    rng = np.random.default_rng(batch)
+    n = 1000
+    wide = np.stack([rng.integers(0, 9, n), rng.integers(0, 9, n) << 56, rng.integers(0, 4, n) << 56], axis=1).astype(np.uint64)
+    rows = wide.view("S24").ravel()
+    family = suffix_dedup.Family(n)
+    for at in range(0, n, batch):
+        come = np.arange(at, min(at + batch, n))
+        family.add(rows[come], come)
+        now = family.answers()[0][come].tolist()  # answered when it comes, and not changed later
+        assert [wide[i].tolist() for i in now] == wide[come].tolist() and all(i <= k for i, k in zip(now, come))
+    first, several = family.answers()
+    leads, runs = {}, {}
+    for i, (a, b, r) in enumerate(wide.tolist()):
+        leads.setdefault((a, b, r), i)
+        runs.setdefault((a, b), set()).add(r)
+    assert first.tolist() == [leads[tuple(x)] for x in wide.tolist()]
+    assert several.tolist() == [len(runs[(a, b)]) > 1 for a, b, _ in wide.tolist()]
+    assert sum(len(level) for level in family.levels) == len(leads)
+
+
+@pytest.mark.parametrize("batch", [3, 64])
+def test_suffixes_in_small_batches(spark, batch):
+    """Documents that lie in no order, with many batches and levels in every key range."""
+    rows = passages()
+    texts = [t for _, t in rows]
+    random.Random(4).shuffle(texts)
+    rows += list(zip(range(200, 200 + len(texts)), texts))
+    random.Random(5).shuffle(rows)
+    docs = table(spark, rows).repartition(5)
+    assert answers(suffix_dedup.dedup(docs, ranges=2, block_bytes=300, batch=batch)) == brute_suffixes(rows)
 
 
 # --- near dedup

@@ -4,20 +4,23 @@ Sparse suffixes. The least hash among the 16-byte strings inside a 50-byte windo
 window's *anchor*; equal windows have equal anchors at equal places, so two documents share a
 window only if they share its anchor. Consecutive windows of one anchor make a *run* of 50 to
 84 bytes, about one for every 18 bytes of text. The suffixes that start at anchors are what is
-indexed: an entry is the anchor's hash, the run's hash, and the least document that has it.
+indexed: an entry is the first 16 bytes of the suffix (the anchor itself), the hash of the run
+around it, and the least document that has it.
 
-Logarithmic index family. Every block of documents is a batch: its entries, sorted, are its
-(sparse) suffix array, cut by key range. In each range batches come in by their least
-document and form level 0; equal-sized levels merge geometrically, keeping the least document
-of an entry; then every batch is merge-scanned against the family.
+Logarithmic index family, one for each range of hashed anchors. Entries come in by document, a
+batch at a time. A batch gets its (sparse) suffix array and is merge-scanned against the levels
+that exist when it arrives, which hold no larger document: a place in the order of a level shows
+an equal run there, or in its neighbours another run of the same anchor. What no level has forms
+a new level, and levels that are not larger merge with it geometrically. An entry that a level
+has already never enters the family, so a hot passage is one entry of it.
 
 1. A run found whole in a smaller document is removed whole.
 2. Where an anchor has several runs, the first document of each sends the run's bytes, and
    their windows are compared one by one. This settles the ends of repeated passages exactly.
 
 Hot passages: a block asks once per distinct entry, so a passage that is everywhere is one
-entry per block. Memory of a task is one block or one key range. Hash equality is by 128 bits
-(anchor and run, anchor and window).
+entry per block. Memory of a task is one block or one key range. Anchors are compared by their
+bytes in the family and by 64 bits of hash among windows, runs and windows by 64 bits besides.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ SPAN = WIDTH - ANCHOR + 1  # anchors a window can have, and windows a run can ha
 BLOCK_BYTES = 1 << 20
 RANGE_BYTES = 16 << 20  # of text for each key range
 STRETCH = 8192  # runs whose windows are compared at a time
+BATCH = 1 << 15  # entries of a batch that comes to a family
 _LAST = np.iinfo(np.int64).max  # null ids come last
 
 
@@ -57,7 +61,7 @@ class Runs:
         self.ids, self.missing = ids, missing
         rank = np.where(missing.astype(bool), _LAST, ids)
         raw, offsets = self.raw, self.offsets
-        self.first = self.count = self.owner = self.back = np.zeros(0, np.int64)
+        self.first = self.count = self.owner = self.anchor = np.zeros(0, np.int64)
         self.key = self.run = np.zeros(0, W.U64)
         if len(raw) >= WIDTH:
             eight = _eights(raw)
@@ -85,7 +89,8 @@ class Runs:
             places = np.flatnonzero(begins)
             self.first = windows[places]
             self.count = np.diff(np.append(places, len(windows)))
-            self.key = gram[at[places]]
+            self.anchor = at[places]
+            self.key = gram[self.anchor]
             self.run = W.range_hashes(raw, self.first, self.first + self.count + WIDTH - 1)
             self.owner = np.searchsorted(offsets, self.first, side="right") - 1
         doc = rank[self.owner]
@@ -105,41 +110,89 @@ def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
     return np.append(np.searchsorted(keys, edges), len(keys))
 
 
-def _least(key: np.ndarray, run: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Entries sorted, each once, with its least document."""
-    order = np.lexsort((doc, run, key))
-    key, run, doc = key[order], run[order], doc[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (run[1:] != run[:-1])
-    return key[new], run[new], doc[new]
+class Level:
+    """A sparse suffix array: suffixes in order, the entry that each came from, and their anchors numbered."""
+
+    def __init__(self, suffixes: np.ndarray, entries: np.ndarray):
+        self.suffixes, self.entries = suffixes, entries
+        self.anchors = np.cumsum(_turns(suffixes)) - 1
+
+    def __len__(self) -> int:
+        return len(self.suffixes)
+
+
+def _wide(suffixes: np.ndarray) -> np.ndarray:
+    """Suffixes of 16 bytes and a hash as three numbers each, to tell equal ones (not their order)."""
+    return suffixes.view(W.U64).reshape(-1, 3)
+
+
+def _turns(suffixes: np.ndarray) -> np.ndarray:
+    """Where, in suffix order, an anchor differs from the one before."""
+    wide = _wide(suffixes)
+    new = np.ones(len(wide), bool)
+    new[1:] = (wide[1:, :2] != wide[:-1, :2]).any(axis=1)
+    return new
 
 
 class Family:
-    """Sorted levels; a new one merges with those that are not larger than it."""
-
-    def __init__(self):
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-    def add(self, level: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
-        while self.levels and len(self.levels[-1][0]) <= len(level[0]):
-            level = _least(*map(np.concatenate, zip(self.levels.pop(), level)))
-        self.levels.append(level)
-
-    def scan(self, key: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For entries that the family holds: the least document, and whether the anchor has other runs."""
-        every = _least(*map(np.concatenate, zip(*self.levels)))
-        several = np.zeros(len(every[0]), bool)
-        same = every[0][1:] == every[0][:-1]
-        several[1:] |= same
-        several[:-1] |= same
-        # Merge: each asked entry falls right behind its own in the order of both.
-        asked = len(key)
-        both = np.lexsort((np.concatenate([np.zeros(len(every[0]), bool), np.ones(asked, bool)]), np.concatenate([every[1], run]), np.concatenate([every[0], key])))
-        held = both < len(every[0])
-        at = np.cumsum(held) - 1
-        where = np.empty(asked, np.int64)
-        where[both[~held] - len(every[0])] = at[~held]
-        return every[2][where], several[where]
+    """Levels over ``n`` entries that are added batch by batch, no document smaller than one before.
+
+    ``first`` is the entry of the family that equals an entry, ``several`` says of entries of
+    the family whether their anchor has other runs there.
+    """
+
+    def __init__(self, n: int):
+        self.levels: list[Level] = []
+        self.first = np.arange(n)
+        self.several = np.zeros(n, bool)
+
+    def add(self, suffixes: np.ndarray, entries: np.ndarray) -> None:
+        """Sort a batch into its suffix array, scan it against every level, and let its new suffixes be a level."""
+        order = np.argsort(suffixes, kind="stable")  # among equal ones the first to come leads
+        suffixes, entries = suffixes[order], entries[order]
+        new = np.ones(len(order), bool)
+        new[1:] = suffixes[1:] != suffixes[:-1]
+        self.first[entries] = entries[new][np.cumsum(new) - 1]
+        suffixes, entries = suffixes[new], entries[new]
+        unseen = np.ones(len(entries), bool)
+        for level in self.levels:
+            unseen &= ~self._scan(level, suffixes, entries)
+        level = Level(suffixes[unseen], entries[unseen])
+        self._mark(level, np.flatnonzero(np.bincount(level.anchors) > 1))
+        while self.levels and len(self.levels[-1]) <= len(level):
+            level = self._merged(self.levels.pop(), level)
+        if len(level):
+            self.levels.append(level)
+
+    def _scan(self, level: Level, suffixes: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        """Which suffixes the level has; where it has others of their anchors, all of them are marked."""
+        at = np.searchsorted(level.suffixes, suffixes)
+        asked, held = _wide(suffixes), _wide(level.suffixes)
+        found = np.zeros(len(at), bool)
+        for place in (np.minimum(at, len(level) - 1), np.maximum(at - 1, 0)):
+            anchor = (held[place, :2] == asked[:, :2]).all(axis=1)
+            equal = anchor & (held[place, 2] == asked[:, 2])
+            self.first[entries[equal]] = level.entries[place[equal]]
+            found |= equal
+            other = anchor & ~found
+            self.several[entries[other]] = True
+            self._mark(level, level.anchors[place[other]])
+        return found
+
+    def _mark(self, level: Level, anchors: np.ndarray) -> None:
+        marked = np.zeros(len(level) + 1, bool)
+        marked[anchors] = True
+        self.several[level.entries[marked[level.anchors]]] = True
+
+    @staticmethod
+    def _merged(large: Level, small: Level) -> Level:
+        at = np.searchsorted(large.suffixes, small.suffixes)
+        return Level(np.insert(large.suffixes, at, small.suffixes), np.insert(large.entries, at, small.entries))
+
+    def answers(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of every entry: its equal in the family, and whether the anchor has several runs."""
+        first = self.first[self.first]  # of the batch, and from there of the level
+        return first, self.several[first]
 
 
 def _asks(blocks: DataFrame, ranges: int) -> DataFrame:
@@ -149,7 +202,8 @@ def _asks(blocks: DataFrame, ranges: int) -> DataFrame:
                 r = Runs(head, text)
                 cuts = _cuts(r.keys, ranges)
                 some = [k for k in range(ranges) if cuts[k + 1] > cuts[k]]
-                data = [W.squeeze(np.diff(r.keys[a:b], prepend=W.U64(0)), r.runs[a:b], r.docs[a:b]) for a, b in ((cuts[k], cuts[k + 1]) for k in some)]
+                anchors = r.raw[r.anchor[r.sample][:, None] + np.arange(ANCHOR)].view(W.U64)
+                data = [W.squeeze(anchors[a:b, 0], anchors[a:b, 1], r.runs[a:b], r.docs[a:b]) for a, b in ((cuts[k], cuts[k + 1]) for k in some)]
                 yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()), pa.array(data, pa.binary())], names=["range", "block", "data"])
 
     return blocks.select("block", "head", "text").mapInArrow(in_task, "range int, block long, data binary")
@@ -158,20 +212,20 @@ def _asks(blocks: DataFrame, ranges: int) -> DataFrame:
 WHOLE, SEVERAL = 1, 2
 
 
-def _answer_runs(table: pa.Table) -> pa.Table:
-    """Index one key range and answer each batch: 1 if a smaller document has the run, 2 if its windows are to be compared."""
-    batches = []
-    for data in table.column("data").to_pylist():
-        steps, run, doc = W.unsqueeze(data, np.uint64, np.uint64, np.int64)
-        batches.append((np.cumsum(steps, dtype=np.uint64), run, doc))
-    family = Family()
-    for k in sorted(range(len(batches)), key=lambda k: int(batches[k][2].min())):
-        family.add(batches[k])
-    key, run, doc = (np.concatenate(x) for x in zip(*batches))
-    least, several = family.scan(key, run)
-    answer = np.where(least < doc, WHOLE, np.where(several, SEVERAL, 0)).astype(np.uint8)
-    ends = np.cumsum([len(b[0]) for b in batches])
-    out = [W.squeeze(answer[e - len(b[0]) : e]) for b, e in zip(batches, ends)]
+def _answer_runs(table: pa.Table, batch: int) -> pa.Table:
+    """Index one key range and answer each block: 1 if a smaller document has the run, 2 if its windows are to be compared."""
+    blocks = [W.unsqueeze(data, np.uint64, np.uint64, np.uint64, np.int64) for data in table.column("data").to_pylist()]
+    doc = np.concatenate([b[3] for b in blocks])
+    suffixes = np.stack([np.concatenate([b[k] for b in blocks]) for k in range(3)], axis=1).view(f"S{ANCHOR + 8}").ravel()
+    family = Family(len(doc))
+    arrival = np.argsort(doc, kind="stable")
+    for at in range(0, len(doc), batch):
+        entries = arrival[at : at + batch]
+        family.add(suffixes[entries], entries)
+    first, several = family.answers()
+    answer = np.where(doc[first] < doc, WHOLE, np.where(several, SEVERAL, 0)).astype(np.uint8)
+    ends = np.cumsum([len(b[3]) for b in blocks])
+    out = [W.squeeze(answer[e - len(b[3]) : e]) for b, e in zip(blocks, ends)]
     return pa.table({"block": table.column("block"), "range": table.column("range"), "kind": pa.array([1] * len(out), pa.int32()), "data": pa.array(out, pa.binary())})
 
 
@@ -273,7 +327,7 @@ def _removed(r: Runs, answers: pa.Table) -> np.ndarray:
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>, kept binary"
 
 
-def dedup(docs: DataFrame, ranges: int | None = None, block_bytes: int = BLOCK_BYTES, kept: bool = True) -> DataFrame:
+def dedup(docs: DataFrame, ranges: int | None = None, block_bytes: int = BLOCK_BYTES, kept: bool = True, batch: int = BATCH) -> DataFrame:
     """A row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept``.
 
     ``spans`` lists starts and ends of the removed byte runs in turn, ``kept`` the remaining
@@ -281,13 +335,18 @@ def dedup(docs: DataFrame, ranges: int | None = None, block_bytes: int = BLOCK_B
     ids count as larger than any other and as equal to each other; rows that repeat an id are
     one document to others and do not remove each other's bytes. Other columns are ignored, an
     empty table gives an empty result. ``ranges`` is the number of key ranges, by default one for
-    ``RANGE_BYTES`` of text, and four for each shuffle partition at least.
+    ``RANGE_BYTES`` of text, and four for each shuffle partition at least; ``batch`` that of the
+    entries that come to a range's family at a time. Neither changes the answer.
     """
     spark = docs.sparkSession
     ship(spark)
     blocks = stage_blocks(docs, block_bytes)
     ranges = ranges or key_ranges(blocks, block_bytes, RANGE_BYTES)
-    first = stage(_asks(blocks, ranges).groupBy("range").applyInArrow(_answer_runs, _ANSWERS), "suffix-answers")
+
+    def of_range(table: pa.Table) -> pa.Table:
+        return _answer_runs(table, batch)
+
+    first = stage(_asks(blocks, ranges).groupBy("range").applyInArrow(of_range, _ANSWERS), "suffix-answers")
     second = stage(_contexts(blocks, first, ranges).groupBy("range").applyInArrow(_answer_windows, _ANSWERS), "window-answers")
 
     def of_block(left: pa.Table, right: pa.Table) -> pa.Table:
