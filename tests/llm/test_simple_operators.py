@@ -115,6 +115,19 @@ def test_secret_redaction(spark):
     assert secret_scans.redact(table(spark, [])).count() == 0
 
 
+def test_redaction_of_rows_without_ids(spark):
+    """Each text brings its own values only, however many rows have no id or the same one."""
+    value = lambda k: hashlib.sha256(str(k).encode()).hexdigest()
+    rows = [(None if k % 2 else 7, f"row {k} token={value(k)}", "en", f"s{k % 2}") for k in range(60)]
+    rows += [(None, rows[1][1], "en", "s1"), (None, None, "en", "s1")]
+    docs = table(spark, rows).repartition(3)
+    out = Counter((r.doc_id, r.text) for r in secret_scans.redact(docs).collect())
+    assert out == Counter((d, None if t is None else t.split("=")[0] + "=[REDACTED]") for d, t, _, _ in rows)
+    held = secret_scans.live_values(secret_scans.judged(secret_scans.located(secret_scans.candidates(docs))))
+    # the hex span and the assignment share their value
+    assert Counter(len(r._live) for r in held.collect()) == {1: 60}
+
+
 def test_key_blocks(spark):
     """Each owner's own key is live and its whole body goes; a key that three owners hold, and a header alone, stay."""
     line = lambda seed, n: (hashlib.sha256(seed.encode()).hexdigest().upper() * 2)[:n]
@@ -172,6 +185,17 @@ def test_lines(spark):
     assert line_dedup.cleaned(table(spark, [])).count() == 0
 
 
+def test_lines_of_awkward_rows(spark):
+    """A very long text, rows that repeat and rows without an id; sites that hold a line just over and under the threshold."""
+    own = "\n".join(f"line {k}" for k in range(50_000))
+    rows = [(1, f"{own}\nspread\nnarrow", "en", "s0")] + [(2, "spread\nkept", "en", "s1")] * 300
+    rows += [(3 + k, "spread\nnarrow" if k < 3 else "spread", "en", f"t{k}") for k in range(4)]
+    rows += [(None, "spread\nno id", None, None)] * 3 + [(None, None, None, None)] * 2
+    out = Counter((r.doc_id, r.text) for r in line_dedup.cleaned(clashing(table(spark, rows))).collect())
+    want = lambda t: None if t is None else "\n".join(x for x in t.split("\n") if x != "spread")
+    assert out == Counter((d, want(t)) for d, t, _, _ in rows)
+
+
 # --- packing
 
 

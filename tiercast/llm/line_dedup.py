@@ -45,10 +45,9 @@ def boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES, band:
 
 
 def clean(docs: DataFrame, site: str = "source", sites: int = SITES, band: float = BAND) -> DataFrame:
-    """The documents without their boilerplate lines, beside ``n_lines`` and ``n_removed`` in a struct ``lines``.
+    """The documents as a struct ``_row`` without their boilerplate lines, beside ``n_lines`` and ``n_removed`` in a struct ``_lines``.
 
-    All columns of the input stay (``n_chars`` follows the text where the table has it), and
-    ``lines`` is put beside them as ``_lines``. Every copy of a boilerplate line goes; blank
+    All columns of the input stay in ``_row`` (``n_chars`` follows the text where the table has it). Every copy of a boilerplate line goes; blank
     lines stay. A null text stays null and has no lines, an empty one has one blank line.
     Rows that repeat an id are cleaned alike; an empty table gives an empty result.
     """

@@ -68,7 +68,7 @@ def _shape(owner: str, repository: list[str]) -> tuple[Column, Column]:
 
 
 def candidates(docs: DataFrame, owner: str = "source", repository: list[str] = ("source", "lang")) -> DataFrame:
-    """Stage one row per document: ``row, doc_id, owner, repo, finds`` (null where nothing was found)."""
+    """Stage one row per document: ``row, doc_id, key, owner, repo, finds`` (``key``, of the text, and ``finds`` null where nothing was found)."""
     who, where = _shape(owner, list(repository))
     texts = docs.select("doc_id", who.alias("owner"), where.alias("repo"), text_of().alias("t"))
 
@@ -77,14 +77,15 @@ def candidates(docs: DataFrame, owner: str = "source", repository: list[str] = (
         return F.coalesce(found, F.array().cast("array<struct<kind:int,m:struct<gap:int,n:int,v:int,h:string>>>"))
 
     every = F.flatten(F.array(*[of_kind(k) for k in range(len(KINDS))]))
-    marked = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repo", every.alias("finds"))
-    return stage(marked.withColumn("finds", F.when(F.size("finds") > 0, F.col("finds"))), "secret-finds")
+    marked = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "t", "owner", "repo", every.alias("finds"))
+    some = F.size("finds") > 0
+    return stage(marked.select("row", "doc_id", F.when(some, F.xxhash64("t")).alias("key"), "owner", "repo", F.when(some, F.col("finds")).alias("finds")), "secret-finds")
 
 
 def located(found: DataFrame) -> DataFrame:
-    """A row per span: ``row, doc_id, owner, repo, kind, start, end, h``."""
-    each = found.where("finds is not null").select("row", "doc_id", "owner", "repo", F.posexplode("finds").alias("i", "f"))
-    flat = each.select("row", "doc_id", "owner", "repo", "i", "f.kind", "f.m.*")
+    """A row per span: ``row, doc_id, key, owner, repo, kind, start, end, h``."""
+    each = found.where("finds is not null").select("row", "doc_id", "key", "owner", "repo", F.posexplode("finds").alias("i", "f"))
+    flat = each.select("row", "doc_id", "key", "owner", "repo", "i", "f.kind", "f.m.*")
     before = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap").cast("long") + F.coalesce(F.col("n"), F.lit(0))).over(before)
     least = F.element_at(F.array(*[F.lit(k[3]) for k in KINDS]), F.col("kind") + 1)
@@ -92,7 +93,7 @@ def located(found: DataFrame) -> DataFrame:
         flat.withColumn("end", end)
         .where("n is not null")
         .where(F.col("v") >= least)
-        .select("row", "doc_id", "owner", "repo", "kind", (F.col("end") - F.col("n")).alias("start"), "end", "h")
+        .select("row", "doc_id", "key", "owner", "repo", "kind", (F.col("end") - F.col("n")).alias("start"), "end", "h")
     )
 
 
@@ -161,6 +162,11 @@ def _blanked(text: Column, pattern: str, group: int) -> Column:
     return F.array_join(rebuilt, "")
 
 
+def live_values(spans: DataFrame) -> DataFrame:
+    """The live values of each text, by id and text, so that rows that repeat an id (or have none) do not share a list."""
+    return spans.where("live").groupBy("doc_id", "key").agg(F.collect_set("h").alias("_live")).withColumnRenamed("doc_id", "_id")
+
+
 def redact(docs: DataFrame, owner: str = "source", repository: list[str] = ("source", "lang"), copied_owners: int = COPIED_OWNERS) -> DataFrame:
     """The documents with every live-looking value replaced; copied examples and all other text stay.
 
@@ -168,13 +174,13 @@ def redact(docs: DataFrame, owner: str = "source", repository: list[str] = ("sou
     back as it was, a null text as null.
     """
     spans = judged(located(candidates(docs, owner, repository)), copied_owners)
-    live = spans.where("live").groupBy("doc_id").agg(F.collect_set("h").alias("_live")).withColumnRenamed("doc_id", "_id")
-    live = stage(live, "live")  # its size on disk lets Spark choose whether texts must move
+    live = stage(live_values(spans), "live")  # its size on disk lets Spark choose whether texts must move
     text = F.col("_t")
     # Key blocks go first: what others blank inside or at the edge of one would hide it.
     for _, pattern, group, _ in sorted(KINDS, key=lambda k: k[0] != "pem"):
         text = _blanked(text, pattern, group)
-    rows = packed(docs, _t=F.col("text")).join(live, F.col("_row.doc_id").eqNullSafe(F.col("_id")), "left")
+    own = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_of("_t")) == F.col("key"))
+    rows = packed(docs, _t=F.col("text")).join(live, own, "left")
     new = F.when(F.col("_live").isNull(), F.col("_t")).otherwise(text)
     row = F.col("_row").withField("text", new)
     if "n_chars" in docs.columns:
