@@ -189,10 +189,14 @@ def test_lines_of_awkward_rows(spark):
     """A very long text, rows that repeat and rows without an id; sites that hold a line just over and under the threshold."""
     own = "\n".join(f"line {k}" for k in range(50_000))
     rows = [(1, f"{own}\nspread\nnarrow", "en", "s0")] + [(2, "spread\nkept", "en", "s1")] * 300
+    rows += [(10 + k, own, "en", "s0" if k % 2 else "s1") for k in range(2)]  # two sites: stays
+    wide = "\n".join(f"wide {k}" for k in range(20_000))
+    rows += [(20 + k, f"{wide}\nown {k}", "en", f"w{k}") for k in range(5)]  # a long copy on five sites: goes
+    rows += [(20, "wide 3\nnot wide\nwide 4", "en", "w0")]  # of an id that has another text
     rows += [(3 + k, "spread\nnarrow" if k < 3 else "spread", "en", f"t{k}") for k in range(4)]
     rows += [(None, "spread\nno id", None, None)] * 3 + [(None, None, None, None)] * 2
     out = Counter((r.doc_id, r.text) for r in line_dedup.cleaned(clashing(table(spark, rows))).collect())
-    want = lambda t: None if t is None else "\n".join(x for x in t.split("\n") if x != "spread")
+    want = lambda t: None if t is None else "\n".join(x for x in t.split("\n") if x != "spread" and not x.startswith("wide "))
     assert out == Counter((d, want(t)) for d, t, _, _ in rows)
 
 

@@ -26,8 +26,22 @@ def _key(line: Column) -> Column:
     return F.when(core != "", wide_hash(core))
 
 
+def _every_key(text: Column) -> Column:
+    return F.transform(F.split(text, "\n", -1), _key)
+
+
 def _keys(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, "\n", -1), _key), lambda k: k.isNotNull())
+    return F.filter(_every_key(text), lambda k: k.isNotNull())
+
+
+def _without(text: Column, gone: Column) -> Column:
+    """The lines of a text but for those at the positions ``gone``, in time linear in them."""
+
+    def of_lines(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.transform(stay, lambda i: lines[i])
+
+    return F.transform(F.array(F.split(text, "\n", -1)), of_lines)[0]  # bound once, not split again for each line
 
 
 def boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES, band: float = BAND) -> DataFrame:
@@ -52,11 +66,12 @@ def clean(docs: DataFrame, site: str = "source", sites: int = SITES, band: float
     Rows that repeat an id are cleaned alike; an empty table gives an empty result.
     """
     marked = boilerplate(docs, site, sites, band)
-    held = docs.select(F.col("doc_id").alias("_id"), F.explode(F.array_distinct(_keys(text_of()))).alias("k"))
-    bad = held.join(marked, "k", "left_semi").groupBy("_id").agg(F.collect_set("k").alias("_bad"))
-    rows = packed(docs, _t=F.col("text")).join(bad, F.col("_row.doc_id").eqNullSafe(F.col("_id")), "left")
+    held = docs.select(F.col("doc_id").alias("_id"), F.xxhash64(text_of()).alias("_of"), F.posexplode(_every_key(text_of())).alias("at", "k"))
+    bad = held.where("k is not null").join(marked, "k", "left_semi").groupBy("_id", "_of").agg(F.collect_set("at").alias("_gone"))
+    own = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_of("_t")) == F.col("_of"))
+    rows = packed(docs, _t=F.col("text")).join(bad, own, "left")
     lines = F.split("_t", "\n", -1)
-    kept = F.when(F.col("_bad").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.coalesce(F.array_contains("_bad", _key(x)), F.lit(False))))
+    kept = F.when(F.col("_gone").isNull(), lines).otherwise(_without(F.col("_t"), F.col("_gone")))
     made = rows.select("_row", lines.alias("_all"), kept.alias("_kept"))
     text = F.array_join("_kept", "\n")
     row = F.col("_row").withField("text", text)
