@@ -7,6 +7,7 @@ from checks import standins as S
 from checks.registry import QUERIES
 from tiercast.operators import html as H
 from tiercast.operators.landed import dealt
+from tiercast.operators.requests import requests, spread
 from tiercast.plans.tier2 import scrape
 
 SF = "/root/testdata/sf0.001"
@@ -59,3 +60,28 @@ def test_only_unbucketed_documents_are_dealt(spark, bucketed):
     done = scrape(asked, docs, F.lit(True), F.col("url"), F.col("year"), unique=True, bucketed=bucketed)
     assert ("REPARTITION_BY_NUM" in plan_of(done)) != bucketed
     assert sorted((r.url, r.t2.status) for r in done.collect()) == [("a", "NO_TABLES"), ("b", "DOWNLOAD_FAILED"), ("c", "DOWNLOAD_FAILED")]
+
+
+def test_keys_of_one_split_unfold_in_many_tasks(spark):
+    """Requests are many times their keys, so keys are dealt before they unfold; distinct counts then move nothing more."""
+    ciks = spark.range(3000).select(F.col("id").alias("cik")).coalesce(1)
+    dealt_out = spread(ciks, "cik", 18, task_rows=5400)
+    assert dealt_out.rdd.getNumPartitions() == 10 and dealt_out.count() == 3000
+    assert spread(ciks, "cik", 18).rdd.getNumPartitions() == 1
+    many = requests(spark.range(60_000).select(F.col("id").alias("cik")).coalesce(1), range(2000, 2010), {"a": "A", "b": "B", "c": "C"})
+    grid = many.groupBy("metric_name", "year").agg(F.countDistinct("cik").alias("n"))
+    assert "REPARTITION_BY_NUM" in plan_of(grid)
+    assert {r.n for r in grid.collect()} == {60_000}
+
+
+def test_requests_are_not_broadcast(spark):
+    """Sizes of files say nothing about the rows that companies unfold into."""
+    plan = plan_of(QUERIES["year_column"](spark, SF))
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_pages_are_spread_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(S, "TASK_PAGES", 3)
+    pages = S.statement_pages(S.given(spark, SF, "year_figures"))
+    n = pages.select("cik").distinct().count()
+    assert pages.rdd.getNumPartitions() >= 0.9 * n / 3
