@@ -163,7 +163,8 @@ def _looked_up(spark, sf):
     from tiercast.operators.statement import lookup
 
     read = statements(_filings(spark, sf), "cik").filter(F.col("table_idx").isNotNull())
-    return lookup(S.statement_requests(spark, sf).join(read, "cik"))
+    # Planned sizes know nothing of the rows unfolded from each company, so requests would be broadcast.
+    return lookup(S.statement_requests(spark, sf).hint("merge").join(read, "cik"))
 
 
 def year_column(spark, sf):
