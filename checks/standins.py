@@ -93,6 +93,7 @@ TABLES = (
 
 SWEEP_YEARS = (1995, 1996, 1998, 2000, 2001, 2003)
 ASK_YEARS = (2009, 2010, 2012, 2014, 2016, 2018)
+TASK_PAGES = 4000  # pages printed, and parsed, by one task: about 32 MB
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -143,9 +144,10 @@ def statement_pages(figures: DataFrame) -> DataFrame:
     error status.  All carry a cash-flow table, poison rows and a nested table.
     """
     years = F.sort_array(F.collect_list(F.struct("yr", "revenue", "net", "rnd")), asc=False)
-    # The figures are small and would be read back as one partition; the pages
-    # printed from them are not, so spread them first.
-    spread = 2 * figures.sparkSession.sparkContext.defaultParallelism
+    # The figures are small and would be read back as a few partitions; the pages
+    # printed from them are not, so spread them first, so many pages to a task.
+    companies = figures.agg(F.approx_count_distinct("cik")).first()[0]
+    spread = max(2 * figures.sparkSession.sparkContext.defaultParallelism, -(-companies // TASK_PAGES))
     docs = figures.groupBy("cik").agg(years.alias("ys")).repartition(spread, "cik")
     cik = F.col("cik")
 
