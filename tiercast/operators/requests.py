@@ -18,7 +18,8 @@ def spread(ciks: DataFrame, key: str, times: int, task_rows: int = TASK_ROWS) ->
     first (an action); few are left where they lie. What follows by key needs no more exchange.
     """
     tasks = -(-ciks.count() * times // task_rows)
-    return ciks.repartition(tasks, key) if tasks > 1 else ciks
+    least = ciks.sparkSession.sparkContext.defaultParallelism
+    return ciks.repartition(max(tasks, least), key) if tasks > 1 else ciks
 
 
 def requests(ciks: DataFrame, years, metrics: dict[str, str]) -> DataFrame:
