@@ -1,5 +1,7 @@
 """Shapes that plans must keep."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +87,9 @@ def test_pages_are_spread_by_their_number(spark, monkeypatch):
     pages = S.statement_pages(S.given(spark, SF, "year_figures"))
     n = pages.select("cik").distinct().count()
     assert pages.rdd.getNumPartitions() >= 0.9 * n / 3
+
+
+def test_requests_are_joined_by_company_alone(spark):
+    """Dealt by company before they unfold, requests need no exchange for filings and facts of a year."""
+    joins = re.findall(r"Join \[([^\]]*)\]", plan_of(QUERIES["tier1_sweep"](spark, SF)))
+    assert len(joins) >= 3 and all("," not in keys for keys in joins)
