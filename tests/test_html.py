@@ -106,3 +106,20 @@ def test_longest_statement_wins_first_on_ties(spark):
     one = statement(["2016"], [["Net sales", "1"]])
     read = statements(parsed(spark, one + one, "<table><tr><td>net income sales</td></tr></table>" + one), "k")
     assert [r["table_idx"] for r in read.orderBy("k").collect()] == [0, 1]
+
+
+def test_characters_that_serve_as_marks_stay_text(spark):
+    doc = "<table><tr><td>a\x01b\x02</td><td>\x03 c\x06a</td></tr>\x04<tr><td>\x05</td></tr></table>\x06"
+    p = parsed(spark, doc).cache()
+    assert [r["text"] for r in H.cells(p, "k").orderBy("row_idx", "cell_idx").collect()] == ["a\x01b\x02", "\x03 c\x06a", "\x05"]
+    assert p.first()["pieces"] == ["a\x01b\x02", "\x03 c\x06a", "\x04", "\x05", "\x06"]
+
+
+def test_tags_that_never_end_and_closing_tags_with_spaces(spark):
+    docs = ["<tr><td>a</td ><td>b</td x>c<td>d</TD></tr><tr><td>e <table f", "<tr><td>a<table></table></td> b<td>c", "<script>x</script><tr><td>q <td r"]
+    got = {r["k"]: r for r in parsed(spark, *docs).collect()}
+    cells = {k: [(c["piece_lo"], c["piece_hi"]) for c in r["cells"]] for k, r in got.items()}
+    assert got["0"]["pieces"] == ["a", "b", "c", "d", "e", "table f"]
+    assert cells["0"] == [(0, 1), (1, 2), (3, 4), (4, 6)]
+    assert got["1"]["pieces"] == ["a", "b", "c"] and cells["1"] == [(0, 1), (2, 3)]
+    assert got["2"]["pieces"] == ["q", "td r"] and cells["2"] == [(0, 1)]

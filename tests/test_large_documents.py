@@ -28,6 +28,15 @@ def test_unfolding_carries_the_key_only(spark):
     assert len(generate) == 1 and "[k#" in generate[0] and "text#" not in generate[0]
 
 
+def test_windows_carry_counts_and_no_cells(spark):
+    docs = spark.createDataFrame([(1, "<table><tr><td>a</td></tr></table>")], "k int, html string")
+    lines = plan_of(H.parse(docs, "k")).splitlines()
+    unfolded = next(i for i, line in enumerate(lines) if "Generate posexplode" in line)
+    grouped = max(i for i, line in enumerate(lines[:unfolded]) if "Aggregate" in line)
+    over = lines[grouped + 1 : unfolded]
+    assert any("Window" in line for line in over) and not any("cells#" in line for line in over)
+
+
 def test_unclosed_comments_take_linear_time(spark):
     bodies = [(1, "<!--" * 100_000), (2, "<p>a</p>" + "<!-- x > y " * 100_000), (3, "<!-- a --><p>b</p><!-- c")]
     docs = spark.createDataFrame(bodies, "k int, html string")
