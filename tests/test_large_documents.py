@@ -48,3 +48,39 @@ def test_unclosed_comments_take_linear_time(spark):
     assert got[2][0] == "a" and set(got[2][1:]) == {"y"}
     assert got[3] == ["b", "<!-- c"]
     assert counts[3] == 5
+
+
+def test_parts_and_cells_are_read_as_letters(spark):
+    """Lists of structs per part and cell, made and copied in step after step, were most of the time."""
+    docs = spark.createDataFrame([(1, "<table><tr><td>a</td></tr></table>")], "k int, html string")
+    lines = plan_of(H.parse(docs, "k")).splitlines()
+    unfolded = next(i for i, line in enumerate(lines) if "Generate posexplode" in line)
+    before = "\n".join(lines[unfolded:])
+    assert "shape" in before and "tag" not in before and "pieces" not in before
+
+
+def test_tasks_hold_few_pages(spark):
+    """Four thousand pages a task took 285 MB of execution memory; it is a fixed amount of markup now."""
+    from checks import standins
+    from tiercast.operators import landed
+
+    assert landed.TASK_BYTES <= 8 << 20 and standins.TASK_PAGES <= 1000
+
+
+def test_shape_of_odd_markup(spark):
+    bodies = [
+        (1, "<<tr><TD>a<b>b</b></TD ><th>c&#4;&#5;<td >d"),
+        (2, "x<table><tr ><td>\x05 a\x04</td> <table><td>&amp;&nbsp;</table>q</tr></table>r"),
+        (3, "</tr><table>t</table></tr><table"),
+        (4, ""),
+    ]
+    docs = spark.createDataFrame(bodies, "k int, html string")
+    got = {r.k: r for r in H.parse(docs, "k").collect()}
+    cells = {k: [(c.is_data, c.piece_lo, c.piece_hi) for c in r.cells] for k, r in got.items()}
+    assert got[1].pieces == ["<", "a", "b", "c\x04\x05", "d"]
+    assert cells[1] == [(True, 1, 3), (False, 3, 4), (True, 4, 5)]
+    assert got[2].pieces == ["x", "\x05 a\x04", "&", "q", "r"]
+    assert cells[2] == [(True, 1, 2), (True, 2, 3)]
+    assert [(t.depth, t.piece_lo, t.piece_hi) for t in got[2].tables] == [(1, 1, 4), (2, 2, 3)]
+    assert got[3].pieces == ["t", "<table"] and [t.piece_hi for t in got[3].tables] == [1]
+    assert (got[4].pieces, got[4].tables, got[4].rows, got[4].cells) == ([], [], [], [])
