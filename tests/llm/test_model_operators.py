@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,6 +193,38 @@ def test_suffixes_in_small_batches(spark, batch):
     assert answers(suffix_dedup.dedup(docs, ranges=2, block_bytes=300, batch=batch)) == brute_suffixes(rows)
 
 
+def test_hot_anchor_windows():
+    """The runs of one anchor, far more windows than are compared at a time: right answers in little memory."""
+    rng = np.random.default_rng(6)
+    n, width, span = 40_000, suffix_dedup.WIDTH, suffix_dedup.SPAN
+    heads, tails = (["".join(w) for w in rng.choice(list("abcd"), (300, span - 1))] for _ in range(2))
+    texts, rows = [], []
+    for i in range(n):
+        place = int(rng.integers(span // 2, span))
+        count = int(rng.integers(span // 4, place + 2))
+        around = heads[rng.integers(300)] + "=" * suffix_dedup.ANCHOR + tails[rng.integers(300)]
+        texts.append(around[span - 1 - place :][: count + width - 1].encode())
+        rows.append((7, int(rng.integers(2000)), count, place))
+    least = {}
+    for t, (_, doc, count, _) in zip(texts, rows):
+        for k in range(count):
+            least[t[k : k + width]] = min(doc, least.get(t[k : k + width], doc))
+    data, raw = [], []
+    for at in range(0, n, 4000):
+        key, doc, count, place = (np.array(c) for c in zip(*rows[at : at + 4000]))
+        data.append(squeeze(np.diff(key.astype(np.uint64), prepend=np.uint64(0)), doc, count.astype(np.uint8), place.astype(np.uint8)))
+        raw.append(squeeze(np.frombuffer(b"".join(texts[at : at + 4000]), np.uint8)))
+    asked = pa.table({"block": range(len(data)), "range": [0] * len(data), "data": pa.array(data, pa.binary()), "bytes": pa.array(raw, pa.binary())})
+    tracemalloc.start()
+    answered = suffix_dedup._answer_windows(asked)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    masks = np.concatenate([unsqueeze(d, np.uint64)[0] for d in answered.column("data").to_pylist()]).tolist()
+    assert sum(r[2] for r in rows) > 2 * suffix_dedup.WINDOWS
+    assert masks == [sum(1 << k for k in range(r[2]) if least[t[k : k + width]] < r[1]) for t, r in zip(texts, rows)]
+    assert peak < 45_000_000
+
+
 # --- near dedup
 
 

@@ -19,8 +19,10 @@ has already never enters the family, so a hot passage is one entry of it.
    their windows are compared one by one. This settles the ends of repeated passages exactly.
 
 Hot passages: a block asks once per distinct entry, so a passage that is everywhere is one
-entry per block. Memory of a task is one block or one key range. Anchors are compared by their
-bytes in the family and by 64 bits of hash among windows, runs and windows by 64 bits besides.
+entry per block. Memory of a task is one block or one key range. The runs of an anchor stay
+together; where there are very many, windows are compared a few places of the anchor at a time,
+as equal windows have it at equal places. Anchors are compared by their bytes in the family and
+by 64 bits of hash among windows, runs and windows by 64 bits besides.
 """
 
 from __future__ import annotations
@@ -41,8 +43,9 @@ WIDTH = 50
 ANCHOR = 16
 SPAN = WIDTH - ANCHOR + 1  # anchors a window can have, and windows a run can have
 BLOCK_BYTES = 1 << 20
-RANGE_BYTES = 16 << 20  # of text for each key range
+RANGE_BYTES = 8 << 20  # of text for each key range
 STRETCH = 8192  # runs whose windows are compared at a time
+WINDOWS = STRETCH * SPAN  # windows that are compared at a time; of an anchor with more, one place at least
 BATCH = 1 << 15  # entries of a batch that comes to a family
 _LAST = np.iinfo(np.int64).max  # null ids come last
 
@@ -214,9 +217,14 @@ WHOLE, SEVERAL = 1, 2
 
 def _answer_runs(table: pa.Table, batch: int) -> pa.Table:
     """Index one key range and answer each block: 1 if a smaller document has the run, 2 if its windows are to be compared."""
-    blocks = [W.unsqueeze(data, np.uint64, np.uint64, np.uint64, np.int64) for data in table.column("data").to_pylist()]
-    doc = np.concatenate([b[3] for b in blocks])
-    suffixes = np.stack([np.concatenate([b[k] for b in blocks]) for k in range(3)], axis=1).view(f"S{ANCHOR + 8}").ravel()
+    suffixes, docs = [], []
+    for data in table.column("data"):
+        *parts, doc = W.unsqueeze(data.as_py(), np.uint64, np.uint64, np.uint64, np.int64)
+        suffixes.append(np.stack(parts, axis=1).view(f"S{ANCHOR + 8}").ravel())
+        docs.append(doc)
+    ends = np.cumsum([len(d) for d in docs])
+    doc, suffixes = np.concatenate(docs), np.concatenate(suffixes)
+    del docs
     family = Family(len(doc))
     arrival = np.argsort(doc, kind="stable")
     for at in range(0, len(doc), batch):
@@ -224,8 +232,7 @@ def _answer_runs(table: pa.Table, batch: int) -> pa.Table:
         family.add(suffixes[entries], entries)
     first, several = family.answers()
     answer = np.where(doc[first] < doc, WHOLE, np.where(several, SEVERAL, 0)).astype(np.uint8)
-    ends = np.cumsum([len(b[3]) for b in blocks])
-    out = [W.squeeze(answer[e - len(b[3]) : e]) for b, e in zip(blocks, ends)]
+    out = [W.squeeze(part) for part in np.split(answer, ends[:-1])]
     return pa.table({"block": table.column("block"), "range": table.column("range"), "kind": pa.array([1] * len(out), pa.int32()), "data": pa.array(out, pa.binary())})
 
 
@@ -251,7 +258,8 @@ def _contexts(blocks: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
                 part = chosen[cuts[k] : cuts[k + 1]]
                 if len(part):
                     first, count = r.first[r.sample[part]], r.count[r.sample[part]]
-                    data = W.squeeze(np.diff(r.keys[part], prepend=W.U64(0)), r.docs[part], count.astype(np.uint8))
+                    place = r.anchor[r.sample[part]] - first
+                    data = W.squeeze(np.diff(r.keys[part], prepend=W.U64(0)), r.docs[part], count.astype(np.uint8), place.astype(np.uint8))
                     out.append((k, block, data, W.squeeze(r.raw[W.spread(first, count + WIDTH - 1)])))
         names = ("range", "block", "data", "bytes")
         kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
@@ -262,33 +270,50 @@ def _contexts(blocks: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
     return texts.cogroup(answers.groupBy("block")).applyInArrow(of_block, "range int, block long, data binary, bytes binary")
 
 
-def _window_masks(key: np.ndarray, doc: np.ndarray, count: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """For runs with their bytes one after another: a bit per window that a smaller document has."""
-    size = count + WIDTH - 1
-    begin = np.cumsum(size) - size
-    windows = W.spread(begin, count)
-    which = np.repeat(np.arange(len(count)), count)
-    hashes = W.range_hashes(raw, windows, windows + WIDTH)
-    keys, docs = key[which], doc[which]
-    order = np.lexsort((docs, hashes, keys))
+def _window_hits(key: np.ndarray, doc: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which windows a smaller document has, of windows with the hashes of their anchor and of themselves."""
+    order = np.lexsort((doc, hashes, key))
     new = np.ones(len(order), bool)
-    new[1:] = (keys[order][1:] != keys[order][:-1]) | (hashes[order][1:] != hashes[order][:-1])
-    least = docs[order][new][np.cumsum(new) - 1]
+    new[1:] = (key[order][1:] != key[order][:-1]) | (hashes[order][1:] != hashes[order][:-1])
+    least = doc[order][new][np.cumsum(new) - 1]
     hit = np.zeros(len(order), bool)
-    hit[order] = least < docs[order]
-    bit = (windows - begin[which]).astype(W.U64)
+    hit[order] = least < doc[order]
+    return hit
+
+
+def _window_masks(key: np.ndarray, doc: np.ndarray, count: np.ndarray, place: np.ndarray, begin: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """For runs that begin in ``raw``, with their anchors' places: a bit per window that a smaller document has."""
     masks = np.zeros(len(count), W.U64)
-    np.bitwise_or.at(masks, which[hit], W.U64(1) << bit[hit])
+    turns = min(SPAN, -(-int(count.sum()) // WINDOWS))
+    for turn in range(turns):
+        which, bit, hashes = [], [], []
+        for at in range(0, len(count), STRETCH):
+            some = slice(at, at + STRETCH)
+            size = count[some] + WIDTH - 1
+            near = raw[W.spread(begin[some], size)]
+            run = np.repeat(np.arange(len(size)), count[some])
+            nth = W.spread(np.zeros(len(size), np.int64), count[some])
+            mine = (place[some][run] - nth) % turns == turn  # where the anchor lies in the window
+            run, nth = run[mine], nth[mine]
+            windows = (np.cumsum(size) - size)[run] + nth
+            hashes.append(W.range_hashes(near, windows, windows + WIDTH))
+            which.append(run + at)
+            bit.append(nth.astype(np.uint8))
+        which, bit, hashes = np.concatenate(which), np.concatenate(bit), np.concatenate(hashes)
+        hit = _window_hits(key[which], doc[which], hashes)
+        np.bitwise_or.at(masks, which[hit], W.U64(1) << bit[hit].astype(W.U64))
     return masks
 
 
 def _answer_windows(table: pa.Table) -> pa.Table:
     """Compare the windows of all runs of one key range, a stretch of keys at a time."""
-    parts = [W.unsqueeze(d, np.uint64, np.int64, np.uint8) for d in table.column("data").to_pylist()]
-    raw = np.concatenate([W.unsqueeze(b, np.uint8)[0] for b in table.column("bytes").to_pylist()])
+    parts = [W.unsqueeze(d.as_py(), np.uint64, np.int64, np.uint8, np.uint8) for d in table.column("data")]
+    raw = np.concatenate([W.unsqueeze(b.as_py(), np.uint8)[0] for b in table.column("bytes")])
     key = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
     doc = np.concatenate([p[1] for p in parts])
-    count = np.concatenate([p[2] for p in parts]).astype(np.int64)
+    count, place = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (2, 3))
+    ends = np.cumsum([len(p[0]) for p in parts])
+    del parts
     size = count + WIDTH - 1
     begin = np.cumsum(size) - size
     order = np.argsort(key, kind="stable")
@@ -299,10 +324,9 @@ def _answer_windows(table: pa.Table) -> pa.Table:
         last = min(first + STRETCH, len(order))
         last = int(np.searchsorted(ranked, ranked[last - 1], side="right"))  # an anchor's runs stay together
         some = order[first:last]
-        masks[some] = _window_masks(key[some], doc[some], count[some], raw[W.spread(begin[some], size[some])])
+        masks[some] = _window_masks(key[some], doc[some], count[some], place[some], begin[some], raw)
         first = last
-    ends = np.cumsum([len(p[0]) for p in parts])
-    out = [W.squeeze(masks[e - len(p[0]) : e]) for p, e in zip(parts, ends)]
+    out = [W.squeeze(part) for part in np.split(masks, ends[:-1])]
     return pa.table({"block": table.column("block"), "range": table.column("range"), "kind": pa.array([2] * len(out), pa.int32()), "data": pa.array(out, pa.binary())})
 
 
