@@ -494,6 +494,19 @@ def test_share_of_pairs_scored():
     assert shares[0] < 0.5 and shares[1] < 0.36
 
 
+def test_opened_nodes_do_not_jump():
+    """A query opens a few hundred nodes on average however many vectors there are, and recall stays."""
+    for n in (2_000, 51_282, 61_440, 61_536, 250_000, 2_500_000, 10**8):
+        nodes = (2 * ann.AXES) ** ann.depth(n)
+        assert ann.wanted(n) * nodes / n < 650
+        assert ann.leaf_limit(n) >= 4 * n // nodes  # or else most leaves would be parted, and few of their parts opened
+    n = 61_536
+    x = np.random.default_rng(n).standard_normal((n, 64))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    recall, share = measured(x, np.arange(0, n, n // 40), ann.K)
+    assert recall >= 0.9 and share < 0.3
+
+
 def test_ascent_takes_the_cheapest_prefixes():
     near = ann.nearness(np.random.default_rng(3).standard_normal((3, 9)).astype(np.float32))
     lacks = (near.max(axis=3, keepdims=True) - near) ** 2

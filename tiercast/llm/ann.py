@@ -3,7 +3,7 @@
 Every tree has its own long hash string for a vector. A symbol of it tells which of the signed axes
 of a random rotation into ``AXES`` dimensions is nearest (a cross-polytope hash: it parts the near from
 the far better than signs of single hyperplanes). A tree is the array of strings, sorted and cut into
-nodes: a leaf is a prefix that at most ``LEAF`` vectors share, so prefixes are longer where
+nodes: a leaf is a prefix that at most ``leaf_limit`` vectors share, so prefixes are longer where
 vectors lie dense. (Vectors are lengthened to one common norm for hashing, so that nearness by angle is
 nearness by inner product whatever the norms.)
 
@@ -41,8 +41,8 @@ TREES = 16
 AXES = 16
 LETTER = 5  # bits of a symbol: one of 2 x AXES signed axes
 SYMBOLS = 8
-LEAF_ROWS = 60  # members that a leaf has on average, at most
-LEAF = 4096  # a node with more is parted by the next symbol, if there is one
+OPENED = 650  # nodes that a query opens on average, at most, where prefixes are longer than two symbols
+LEAF = 4096  # a node with more, and with four times the average, is parted by the next symbol, if there is one
 BLOCK = 4096
 CHUNK_ROWS = 65536  # members of one tree that a task holds at a time, on average
 K = 20
@@ -51,15 +51,27 @@ _STEP = 256  # rows hashed at a time
 
 
 def wanted(n: int) -> int:
-    """Candidates that the ascent gathers among ``n`` vectors; those found in several trees count in each."""
-    return math.ceil(2.8 * n**0.8)
+    """Candidates that the ascent gathers among ``n`` vectors; those found in several trees count in each.
+
+    The second term leads from about 52,000 vectors on, where nodes of two symbols hold more and more.
+    """
+    return math.ceil(max(2.8 * n**0.8, 1.81 * n**0.84))
 
 
 def depth(n: int) -> int:
-    """Symbols in the prefixes that an ascent starts from; none where all vectors are wanted."""
+    """Symbols in the prefixes that an ascent starts from; none where all vectors are wanted.
+
+    A query opens ``wanted`` candidates' worth of nodes, so nodes must grow with the table: with one
+    more symbol it would open 32 times as many, nearly all of them with hardly a member.
+    """
     if wanted(n) >= n:
         return 0
-    return min(SYMBOLS, max(2, math.ceil(math.log(n / LEAF_ROWS, 2 * AXES))))
+    return min(SYMBOLS, max(2, math.floor(math.log(OPENED * n / wanted(n), 2 * AXES))))
+
+
+def leaf_limit(n: int) -> int:
+    """Members of a leaf at most, if there is a further symbol."""
+    return max(LEAF, 4 * n // (2 * AXES) ** depth(n))
 
 
 def planes(dim: int) -> np.ndarray:
@@ -167,8 +179,8 @@ class Forest:
         return self.leaves if length == self.first else stage(self.members(length).groupBy("node").agg(F.count(F.lit(1)).alias("n")), "nodes")
 
 
-def index(vectors: DataFrame, leaf: int = LEAF) -> Forest:
-    """The forest of all usable rows of ``vec_id, embedding``."""
+def index(vectors: DataFrame, leaf: int | None = None) -> Forest:
+    """The forest of all usable rows of ``vec_id, embedding``; ``leaf`` is by default ``leaf_limit`` of their number."""
     ship(vectors.sparkSession)
     names, alike = vertices(vectors)
     size = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, c: s + c.cast("double") * c.cast("double")))
@@ -189,6 +201,7 @@ def index(vectors: DataFrame, leaf: int = LEAF) -> Forest:
 
     coded = stage(alike.join(norms, "dim").select("v", "dim", "norm", "x").mapInArrow(in_task, "v bigint, dim int, codes array<bigint>"), "strings")
     count = coded.count()
+    leaf = leaf or leaf_limit(count)
     first = last = depth(count)
     active = coded.select("dim", F.posexplode("codes").alias("t", "code"))
     parts = []
